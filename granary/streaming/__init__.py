@@ -1,0 +1 @@
+"""Empty on purpose: every load in this pipeline is a batch load."""
