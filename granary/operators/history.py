@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.operators.ordered import PARTITION, POSITION, place_in_order
+
 
 def valid_at(when: Column, start: Column, end: Column, as_of: Column) -> Column:
     """Inclusive at both ends; an open version runs up to ``as_of``."""
@@ -37,8 +39,30 @@ def overlapping_versions(
     """Versions that start on or before the end of an earlier version of their key.
 
     A running maximum replaces the join of every pair of versions, so the work
-    grows with the number of versions and not with its square.
+    grows with the number of versions and not with its square. The maximum runs
+    within range partitions, and what a key brings along from its earlier
+    partitions is added afterwards, so a key with very many versions is split.
     """
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    latest_end = F.max(F.coalesce(F.col(end), as_of)).over(earlier)
-    return versions.withColumn("earlier_end", latest_end).filter(F.col(start) <= F.col("earlier_end"))
+    ends = F.coalesce(F.col(end), as_of)
+    placed = place_in_order(versions, [*keys, order])
+    here = [PARTITION, *keys]
+    earlier_rows = Window.partitionBy(*here).orderBy(POSITION).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier_parts = Window.partitionBy(*keys).orderBy(PARTITION).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    brought = (
+        placed.groupBy(*here)
+        .agg(F.max(ends).alias("_end"))
+        .withColumn("_brought", F.max("_end").over(earlier_parts))
+        .filter(F.col("_brought").isNotNull())
+        .drop("_end")
+    )
+    local = placed.withColumn("_local", F.max(ends).over(earlier_rows))
+    joined = local.join(brought, here, "left")
+    return (
+        joined.withColumn("earlier_end", F.greatest("_local", "_brought"))
+        .filter(F.col(start) <= F.col("earlier_end"))
+        .select(*versions.columns, "earlier_end")
+    )

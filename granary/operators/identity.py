@@ -9,10 +9,9 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.session import scratch_root
+from granary.operators.ordered import PARTITION, POSITION, place_in_order
 
-PARTITION, POSITION, BEFORE = "_partition", "_position", "_before"
-ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
+BEFORE = "_before"
 
 
 def same_key(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
@@ -32,12 +31,10 @@ def assign_identity(
     """Give each source row the key its match in ``target`` has, or a new one.
 
     New keys continue after ``highest`` in the order of ``keys``, without gaps.
-    Rows are range partitioned and checkpointed, which fixes their place; the
-    number of new rows per partition (one small row each) then gives every
-    partition its starting point. No step sees all rows at once. Returns the
-    keyed rows and the highest key in use.
+    Rows are placed in range partitions; the number of new rows per partition
+    (one small row each) then gives every partition its starting point. No
+    step sees all rows at once. Returns the keyed rows and the highest key.
     """
-    scratch_root(source.sparkSession)
     if target is None:
         matched = source.withColumn(identity, F.lit(None).cast("bigint"))
     else:
@@ -45,19 +42,8 @@ def assign_identity(
         matched = source.alias("s").join(
             known.alias("t"), same_key("s", "t", keys, null_safe), "left"
         ).select("s.*", f"t.{identity}")
-    placed = (
-        matched.repartitionByRange(*keys)
-        .sortWithinPartitions(F.col(identity).isNotNull(), *keys)
-        .checkpoint()
-    )
-    # New rows sort first in each partition, so their row numbers have no gaps.
-    row = F.monotonically_increasing_id()
-    indexed = placed.withColumns(
-        {
-            PARTITION: F.shiftright(row, ROW_BITS),
-            POSITION: row.bitwiseAND((1 << ROW_BITS) - 1),
-        }
-    )
+    # New rows sort first in each partition, so their positions have no gaps.
+    indexed = place_in_order(matched, keys, first=[F.col(identity).isNotNull()])
     fresh = indexed.filter(F.col(identity).isNull()).groupBy(PARTITION).count().collect()
     counts = sorted((r[PARTITION], r["count"]) for r in fresh)
     starts = list(accumulate((n for _, n in counts), initial=highest))

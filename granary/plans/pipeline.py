@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +19,13 @@ from granary.sources.landing import read_landing
 from granary.sources.tables import VersionedTable, create_layers
 
 
+def together(spark: SparkSession, jobs: Iterable[Callable[[], Any]], workers: int = 8) -> list[Any]:
+    """Run independent jobs side by side, so that small tables do not queue for the cluster."""
+    with ThreadPoolExecutor(workers) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 @dataclass
 class Warehouse:
     """Where the layers live and how a run is parameterised.
@@ -119,18 +127,14 @@ class Warehouse:
     def run(self) -> None:
         """Every active table, layer by layer; a failed layer stops the run."""
         tables = active_sources()
-        self._together(partial(self.load_bronze, t) for t in tables)
-        self._together(partial(self.load_silver, t) for t in tables)
+        self._side_by_side(partial(self.load_bronze, t) for t in tables)
+        self._side_by_side(partial(self.load_silver, t) for t in tables)
         active = [t.name for t in WAREHOUSE.values() if t.active]
-        self._together(partial(self.load_dimension, n) for n in active if n.startswith("Dim"))
+        self._side_by_side(partial(self.load_dimension, n) for n in active if n.startswith("Dim"))
         if "FactInternetSales" in active:
             self.load_sales()
         if "FactInternetSalesReason" in active:
             self.load_sales_reasons()
 
-    def _together(self, jobs: Iterable[Callable[[], int]]) -> None:
-        """Run independent table loads side by side, so small tables do not queue."""
-        with ThreadPoolExecutor(self.parallel_jobs) as pool:
-            started = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]
-            for job in started:
-                job.result()
+    def _side_by_side(self, jobs: Iterable[Callable[[], int]]) -> None:
+        together(self.spark, jobs, self.parallel_jobs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -17,7 +18,13 @@ class Cleaned:
     """Result of a silver job before it is written."""
 
     accepted: DataFrame
-    quarantined: DataFrame
+    filled: DataFrame
+    checks: Mapping[str, str]
+
+    @property
+    def quarantined(self) -> DataFrame:
+        """Rows that were not accepted, as they came, with the checks they fail."""
+        return checks.quarantine(self.filled, self.checks)
 
 
 def latest_rows(bronze: DataFrame, table: SourceTable) -> DataFrame:
@@ -57,7 +64,4 @@ def clean(
         failing = ~F.coalesce(checks.all_of(table.checks), F.lit(False))
         passing = filled.observe(held, F.count_if(failing).alias("rows"))
     accepted = conform.cast_to(checks.accept(passing, table.checks), schema)
-    return Cleaned(
-        accepted=conform.verify_schema(accepted, schema),
-        quarantined=checks.quarantine(filled, table.checks),
-    )
+    return Cleaned(conform.verify_schema(accepted, schema), filled, table.checks)

@@ -7,16 +7,18 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from granary.operators.checks import FAILED
 from granary.operators.identity import assign_identity
 from granary.operators.sync import to_sink
 from granary.plans import dimensions, facts, silver
-from granary.plans.pipeline import Warehouse
+from granary.plans.pipeline import Warehouse, together
 from granary.plans.storefront import bronze_like, unique_rows
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.session import scratch_path
 from granary.sources.landing import write_landing
+from granary.sources.tables import VersionedTable
 
 AS_OF = "2002-01-01 00:00:00"
 
@@ -39,21 +41,37 @@ def silver_frames(spark: SparkSession, sf: str, names: tuple[str, ...]) -> dict[
     return {n: silver_job(source(n).full_name, spark, sf) for n in names}
 
 
-def gold_dimension(name: str, spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """A dimension as its first load would store it, surrogate keys included.
-
-    ``columns`` narrows the rows before their keys are assigned: the checkpoint
-    in that step would otherwise carry columns nobody reads.
-    """
+def gold_dimension(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension as its first load would store it, surrogate keys included."""
     spec = WAREHOUSE[name]
     rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
     schema = spec.schema_for(wide_ids=True)
     if spec.identity is None:
         return to_sink(rows, schema)
-    keyless = to_sink(rows, schema, (spec.identity,))
-    if columns:
-        keyless = keyless.select(*spec.keys, *[c for c in columns if c not in spec.keys])
-    return assign_identity(keyless, None, spec.keys, spec.identity)[0]
+    return assign_identity(to_sink(rows, schema, (spec.identity,)), None, spec.keys, spec.identity)[0]
+
+
+def stored_lookup(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of a dimension that the fact reads, stored and read back.
+
+    From the files the planner knows the exact size, and so whether the lookup
+    can be broadcast.
+    """
+    spec, columns = WAREHOUSE[name], facts.LOOKUPS[name]
+    rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
+    schema = StructType(
+        [f for f in spec.schema_for(wide_ids=True) if f.name in (spec.identity, *spec.keys, *columns)]
+    )
+    kept = VersionedTable(spark, scratch_path(spark, name))
+    kept.sync(
+        rows,
+        spec.keys,
+        schema,
+        identity=spec.identity,
+        null_safe=spec.null_safe_keys,
+        keys_unique=spec.unique_by_build,
+    )
+    return kept.read()
 
 
 def gold_dim_product(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +83,9 @@ def gold_dim_product(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sales(spark: SparkSession, sf: str) -> DataFrame:
     spec = WAREHOUSE["FactInternetSales"]
-    gold = {n: gold_dimension(n, spark, sf, *columns) for n, columns in facts.LOOKUPS.items()}
+    gold = dict(
+        zip(facts.LOOKUPS, together(spark, [partial(stored_lookup, n, spark, sf) for n in facts.LOOKUPS]))
+    )
     return facts.fact_internet_sales(silver_frames(spark, sf, spec.sources), gold, AS_OF)
 
 
@@ -96,13 +116,16 @@ def load_twice(spark: SparkSession, sf: str) -> DataFrame:
         as_of=AS_OF,
         wide_ids=True,
     )
-    for name, spec in SOURCES.items():
-        write_landing(unique_rows(spark, sf, name), house.landing, spec)
+    together(spark, [partial(_land, house, sf, name) for name in SOURCES])
     house.run()
     house.run()
     return reduce(DataFrame.unionByName, [_rerun_report(house, spec.name) for spec in WAREHOUSE.values()])
 
 
+def _land(house: Warehouse, sf: str, name: str) -> str:
+    return write_landing(unique_rows(house.spark, sf, name), house.landing, SOURCES[name])
+
+
 def _rerun_report(house: Warehouse, name: str) -> DataFrame:
     spec, kept = WAREHOUSE[name], house.gold(name)
     first, second = kept.read(kept.version() - 1), kept.read()

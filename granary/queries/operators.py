@@ -419,23 +419,26 @@ def fact_sales_reason(spark: SparkSession, sf: str) -> DataFrame:
     return lines.join(bridge, "o_orderkey").select("son", "ln", "rk")
 
 
+def _stored(rows: DataFrame, key: str, ddl: str) -> DataFrame:
+    """A keyed lookup in a table of its own; its first column is the surrogate key."""
+    spark, schema = rows.sparkSession, StructType.fromDDL(ddl)
+    kept = VersionedTable(spark, scratch_path(spark, "lookup"))
+    kept.sync(rows, [key], schema, identity=schema.names[0], keys_unique=True)
+    return kept.read()
+
+
 def fact_lookups(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with the surrogate keys of part, promotion, territory and currency."""
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    promotions, _ = assign_identity(
-        table(spark, sf, "lineitem").select(F.col("l_discount").alias("d")).distinct(), None, ["d"], "promo"
-    )
-    territories, _ = assign_identity(
-        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-            "n_nationkey", "n_regionkey", F.col("r_name").alias("rname")
-        ),
-        None,
-        ["n_nationkey"],
-        "terr",
+    offers = table(spark, sf, "lineitem").select(F.col("l_discount").alias("d")).distinct()
+    promotions = _stored(offers, "d", "promo BIGINT, d DOUBLE")
+    named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        "n_nationkey", "n_regionkey", F.col("r_name").alias("rname")
     )
-    currencies, _ = assign_identity(
-        nation.select(F.col("n_nationkey").alias("nk")), None, ["nk"], "curr"
+    territories = _stored(
+        named, "n_nationkey", "terr BIGINT, n_nationkey INT, n_regionkey INT, rname STRING"
     )
+    currencies = _stored(nation.select(F.col("n_nationkey").alias("nk")), "nk", "curr BIGINT, nk INT")
     by_region = dedup.one_per_key(
         nation.select("n_regionkey", F.col("n_nationkey").alias("nk")), ["n_regionkey"], ["nk"]
     )

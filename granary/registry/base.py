@@ -87,7 +87,11 @@ class SourceTable:
 
 @dataclass(frozen=True)
 class WarehouseTable:
-    """One gold table: its column DDL, merge key and surrogate key."""
+    """One gold table: its column DDL, merge key and surrogate key.
+
+    ``unique_by_build`` marks builds that cannot repeat a key, because the key
+    is that of one silver table or a numbered line; the others are checked.
+    """
 
     name: str
     columns: str

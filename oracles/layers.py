@@ -270,3 +270,13 @@ LAYER_ORACLES = {
     "gold_fact_internet_sales": with_silver(FACT_SOURCES, FACT),
     "gold_fact_internet_sales_reason": with_silver((*FACT_SOURCES, "SalesOrderHeaderSalesReason"), REASONS),
 }
+
+# A second load of the same data updates every row and changes none.
+RERUN_COUNTS = {n: LAYER_ORACLES[f"gold_{snake(n)}"] for n in WAREHOUSE if n != "DimDate"} | {
+    "DimDate": "SELECT unnest(generate_series(date '2005-01-01', date '2014-12-31', interval 1 day)) d"
+}
+LAYER_ORACLES["load_twice"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, 0 AS inserted, (SELECT count(*) FROM ({sql}) g) AS updated, "
+    "0 AS deleted, 0 AS changed_rows"
+    for n, sql in RERUN_COUNTS.items()
+)
