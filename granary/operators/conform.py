@@ -26,10 +26,12 @@ def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     A missing column raises, extra columns are dropped, and a value that does
     not fit its type raises when the plan runs.
     """
-    missing = [f.name for f in schema if f.name not in df.columns]
+    present = set(df.columns)
+    missing = [f.name for f in schema if f.name not in present]
     if missing:
         raise ValueError(f"columns missing from the input: {', '.join(missing)}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    casts = [f"cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    return df.selectExpr(*casts)
 
 
 def strip_column_names(df: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HEX_GROUPS = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
+
 AsOf = Column | datetime.datetime | str | None
 
 
@@ -30,10 +32,9 @@ def fill_times(df: DataFrame, columns: Sequence[str], as_of: AsOf = None) -> Dat
 
 def row_id(label: str, keys: Sequence[str]) -> Column:
     """A row id made from the key, in UUID layout; the same key gives the same id."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(label), *parts))
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
+    parts = ", ".join(f"coalesce(cast(`{k}` AS string), '')" for k in keys)
+    digest = f"md5(concat_ws('|', '{label}', {parts}))"
+    return F.expr(f"regexp_replace({digest}, '{HEX_GROUPS}', '$1-$2-$3-$4-$5')")
 
 
 def fill_row_id(df: DataFrame, label: str, keys: Sequence[str], column: str = "rowguid") -> DataFrame:

@@ -37,7 +37,7 @@ def number_lines(
     numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     within = numbered.filter(F.col(name) <= limit + 1)
     too_many = F.raise_error(
-        F.concat(F.lit(f"more than {limit} lines in "), *[F.col(g).cast("string") for g in group])
+        F.concat_ws(" ", F.lit(f"more than {limit} lines in"), *[F.col(g).cast("string") for g in group])
     )
     checked = F.when(F.col(name) <= limit, F.col(name)).otherwise(too_many.cast("int"))
     return within.withColumn(name, checked.cast("tinyint"))

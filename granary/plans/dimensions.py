@@ -176,16 +176,24 @@ def dim_customer(silver: Frames, one_contact: bool = False) -> DataFrame:
 
 
 def product_descriptions(silver: Frames) -> DataFrame:
-    """One row per model with its description in each culture."""
-    bridge = silver["ProductModelProductDescriptionCulture"].alias("b")
-    text = silver["ProductDescription"].alias("t")
-    described = bridge.join(
-        text, F.col("b.ProductDescriptionID") == F.col("t.ProductDescriptionID"), "left"
-    ).select("b.ProductModelID", "b.CultureID", "b.ProductDescriptionID", "t.Description")
+    """One row per model with its first description in each culture.
+
+    The first description is chosen by its id before any text is fetched, so
+    the texts that lose out are never shuffled.
+    """
+    bridge = silver["ProductModelProductDescriptionCulture"].select(
+        "ProductModelID", F.trim("CultureID").alias("Culture"), "ProductDescriptionID"
+    )
+    chosen = (
+        bridge.filter(F.col("Culture").isin(*CULTURES))
+        .groupBy("ProductModelID", "Culture")
+        .agg(F.min("ProductDescriptionID").alias("ProductDescriptionID"))
+    )
+    text = silver["ProductDescription"].select("ProductDescriptionID", "Description")
     return pivot_first(
-        described,
+        chosen.join(text, "ProductDescriptionID", "left"),
         ["ProductModelID"],
-        F.trim(F.col("CultureID")),
+        F.col("Culture"),
         {code: f"{language}Description" for code, language in CULTURES.items()},
         "Description",
         "ProductDescriptionID",

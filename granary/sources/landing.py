@@ -68,12 +68,16 @@ def write_landing(df: DataFrame, root: str, table: SourceTable) -> str:
     return path
 
 
-def read_landing(spark: SparkSession, root: str, table: SourceTable, as_of: AsOf = None) -> DataFrame:
+def read_landing(
+    spark: SparkSession, root: str, table: SourceTable, as_of: AsOf = None, merge_schema: bool = False
+) -> DataFrame:
     """The landed rows with their load time and the file each came from.
 
-    Files of one load may differ in columns; the read takes the union.
+    One extract writes files of one schema, and reading a single footer is
+    enough. ``merge_schema`` reads them all, for files that differ in columns.
     """
-    landed = spark.read.option("mergeSchema", "true").parquet(landing_path(root, table))
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    landed = reader.parquet(landing_path(root, table))
     return landed.select(
         "*",
         run_time(as_of).alias("_process_timestamp"),
