@@ -52,9 +52,10 @@ def declare_checks(spark: SparkSession, table: str, checks: Mapping[str, str]) -
     """Store checks as table properties; a name that is already there is left as it is."""
     known = read_checks(spark, table)
     added = [name for name in checks if name not in known]
-    for name in added:
-        text = checks[name].replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PROPERTY_PREFIX}{name}' = '{text}')")
+    texts = {name: checks[name].replace("\\", "\\\\").replace("'", "\\'") for name in added}
+    if texts:
+        properties = ", ".join(f"'{PROPERTY_PREFIX}{name}' = '{text}'" for name, text in texts.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({properties})")
     return added
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.session import scratch_root
 
 PARTITION, POSITION = "_partition", "_position"
+ROWS_PER_TASK = 1_000_000  # groups up to this size are sorted by one task
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
 
 
@@ -37,3 +38,53 @@ def place_in_order(
             POSITION: row.bitwiseAND((1 << ROW_BITS) - 1),
         }
     )
+
+
+def cluster_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lay rows out by ``columns`` for the files to come: ranges apart, sorted within."""
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group, from the group columns alone."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def number_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, largest: int
+) -> DataFrame:
+    """Number the rows of each group from 1, as an INT, whatever the group's size.
+
+    ``largest`` says how large groups get and decides the way only. Groups of a
+    size one task can sort take a window. Beyond it rows are placed in range
+    partitions, so that a large group is spread over several; each row's number
+    is then its number within the partition plus the rows that its group has in
+    earlier partitions.
+    """
+    if largest <= ROWS_PER_TASK:
+        whole = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(whole))
+    placed = place_in_order(df, [*group, *order])
+    here = [PARTITION, *group]
+    earlier = Window.partitionBy(*group).orderBy(PARTITION).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # NULL groups are numbered too, so the parts are matched null-safely.
+    before = (
+        placed.groupBy(*here)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_earlier", F.sum("_n").over(earlier))
+        .filter(F.col("_earlier") > 0)
+        .select(*[F.col(c).alias(f"_key_{c}") for c in here], "_earlier")
+    )
+    local = placed.withColumn(
+        name, F.row_number().over(Window.partitionBy(*here).orderBy(POSITION))
+    )
+    same_part = F.col(PARTITION) == F.col(f"_key_{PARTITION}")
+    for c in group:
+        same_part = same_part & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    number = F.col(name) + F.coalesce(F.col("_earlier"), F.lit(0))
+    return local.join(before, same_part, "left").select(
+        *df.columns, number.cast("int").alias(name)
+    )

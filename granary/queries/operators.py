@@ -10,6 +10,7 @@ from granary.functions.calendar import date_key
 from granary.functions.sales import MONEY, discount_amount, order_id, sales_amount
 from granary.operators import checks, conform, dedup, fills, history, shaping, sync
 from granary.operators.identity import assign_identity
+from granary.operators.ordered import largest_group, number_rows
 from granary.plans.dimensions import describe_days
 from granary.plans.storefront import part_versions, table
 from granary.registry import SourceTable
@@ -406,8 +407,8 @@ def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
             "line": "l_linenumber",
         },
     )
-    numbered = shaping.number_lines(named, ["son"], [F.col("line"), F.col("pk")], "ln")
-    return numbered.withColumn("ln", F.col("ln").cast("int")).drop("line")
+    largest = largest_group(table(spark, sf, "lineitem"), ["l_orderkey"])
+    return number_rows(named, ["son"], ["line", "pk"], "ln", largest).drop("line")
 
 
 def fact_sales_reason(spark: SparkSession, sf: str) -> DataFrame:

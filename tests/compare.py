@@ -65,7 +65,7 @@ def main() -> int:
     import __spark_entry__ as entry
     from granary.session import build_session
 
-    sf_dir = f"/root/testdata/{sys.argv[1] if len(sys.argv) > 1 else 'sf0.01'}"
+    sf_dir = os.path.join("/root/testdata", sys.argv[1] if len(sys.argv) > 1 else "sf0.01")
     wanted = sys.argv[2:]
     spark = build_session(
         master="local[8]",

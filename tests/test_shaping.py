@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.calendar import DAY_NAMES, SPANISH, date_key, translated
 from granary.functions.sales import order_id
+from granary.operators import ordered
 from granary.operators.shaping import number_lines, pivot_first
 from granary.plans.dimensions import dim_date
 
@@ -34,6 +35,24 @@ def test_127_lines_pass_and_128_raise(spark):
         number_lines(lines, ["o"], [F.col("l")], "n").collect()
 
 
+def test_a_large_group_is_numbered_across_partitions(spark, rows, monkeypatch):
+    lines = spark.range(4000).selectExpr(
+        "if(id % 3 = 0, null, if(id % 3 = 1, 'hot', cast(id as string))) as o", "4000 - id as l"
+    )
+    plain = ordered.number_rows(lines, ["o"], ["l"], "n", 10)
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 100)
+    size = ordered.largest_group(lines, ["o"])
+    assert size == 1334
+    split = ordered.number_rows(lines, ["o"], ["l"], "n", size)
+    assert split.dtypes == plain.dtypes and rows(split) == rows(plain)
+
+
+def test_clustered_rows_are_sorted_in_every_partition(spark):
+    parts = ordered.cluster_rows(spark.range(1000).selectExpr("1000 - id as k"), ["k"])
+    frames = parts.select("k", F.spark_partition_id().alias("p")).collect()
+    assert [r.k for r in frames] == sorted(r.k for r in frames) and len(frames) == 1000
+
+
 def test_order_number_is_parsed_or_null(frame, rows):
     df = frame([("SO43659",), ("SOxx",), (None,), ("SO12345678901",)], "s string")
     got = {r[0] for r in df.select(order_id(F.col("s"))).collect()}
