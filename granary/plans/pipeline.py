@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -10,12 +10,13 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import IntegralType
 
 from granary.operators.checks import declare_checks
 from granary.operators.fills import AsOf
 from granary.plans import dimensions, facts, silver
 from granary.registry import WAREHOUSE, SourceTable, active_sources, source
-from granary.sources.landing import read_landing
+from granary.sources.landing import extract, read_landing, write_landing
 from granary.sources.tables import VersionedTable, create_layers
 
 
@@ -68,6 +69,16 @@ class Warehouse:
         """Silver tables by registry name."""
         return {name: self.silver(source(name)).read() for name in names}
 
+    def land(self, table: SourceTable, connection: Mapping[str, str], partitions: int = 64) -> str:
+        """Extract one table over JDBC into the landing zone, in ranges of a numeric first key."""
+        first_key = table.struct[table.keys[0]]
+        numeric = isinstance(first_key.dataType, IntegralType)
+        rows = extract(self.spark, table, connection, first_key.name if numeric else None, partitions)
+        return write_landing(rows, self.landing, table)
+
+    def land_all(self, connection: Mapping[str, str], partitions: int = 64) -> None:
+        self._side_by_side(partial(self.land, t, connection, partitions) for t in active_sources())
+
     def load_bronze(self, table: SourceTable) -> int:
         landed = read_landing(self.spark, self.landing, table, self.as_of)
         return self.bronze(table).sync_evolving(landed, table.keys)
@@ -88,10 +99,16 @@ class Warehouse:
         )
         if table.checks:
             declare_checks(self.spark, target.name, table.checks)
-            rejected = cleaned.quarantined if held.get["rows"] else cleaned.quarantined.limit(0)
-            self.quarantine(table).publish(rejected)
+            self._keep_rejected(table, cleaned, held.get["rows"])
         return version
 
+    def _keep_rejected(self, table: SourceTable, cleaned: silver.Cleaned, rejected: int) -> None:
+        target = self.quarantine(table)
+        if rejected:
+            target.publish(cleaned.quarantined)
+        elif target.notes().get("rows") != 0:
+            target.publish(cleaned.quarantined.limit(0))
+
     def load_gold(self, name: str, rows: DataFrame) -> int:
         spec = WAREHOUSE[name]
         return self.gold(name).sync(
@@ -136,5 +153,5 @@ class Warehouse:
         if "FactInternetSalesReason" in active:
             self.load_sales_reasons()
 
-    def _side_by_side(self, jobs: Iterable[Callable[[], int]]) -> None:
+    def _side_by_side(self, jobs: Iterable[Callable[[], Any]]) -> None:
         together(self.spark, jobs, self.parallel_jobs)

@@ -56,14 +56,16 @@ class VersionedTable:
         return self.version() is not None
 
     def read(self, version: int | None = None) -> DataFrame:
+        """The rows of a version; its schema comes from the marker, so no file is opened yet."""
         number = self.version() if version is None else version
         if number is None:
             raise TableNotFound(self.name or self.path)
-        return self.spark.read.parquet(self.location(number))
+        schema = StructType.fromJson(self.notes(number)["schema"])
+        return self.spark.read.schema(schema).parquet(self.location(number))
 
-    def notes(self) -> dict[str, Any]:
-        """What the current version's marker records: row count and highest identity."""
-        number = self.version()
+    def notes(self, version: int | None = None) -> dict[str, Any]:
+        """What a version's marker records: schema, row count and highest identity."""
+        number = self.version() if version is None else version
         if number is None:
             return {}
         return json.loads(files.read_text(self.spark, f"{self.location(number)}/{MARKER}"))
@@ -75,9 +77,13 @@ class VersionedTable:
         unique: Sequence[str] = (),
         notes: Mapping[str, Any] | None = None,
         defaults: Mapping[str, str] | None = None,
+        declared: StructType | None = None,
     ) -> int:
         """Write ``rows`` as the next version, audit it and make it current.
 
+        ``declared`` is the schema with its NOT NULL marks for the catalog,
+        where it says more than that of ``rows``.
+
         Missing required values are counted while the rows are written. Key
         uniqueness is checked on the key columns of the written files, so the
         plan behind ``rows`` runs once only.
@@ -100,9 +106,10 @@ class VersionedTable:
             if doubled:
                 keys = [tuple(r)[:-1] for r in doubled]
                 raise RuleViolation(f"{self.name or self.path}: keys {tuple(unique)} repeat: {keys}")
-        record = {"rows": counts["rows"], **(notes or {})}
+        schema = declared or rows.schema
+        record = {"rows": counts["rows"], "schema": schema.jsonValue(), **(notes or {})}
         files.write_text(self.spark, f"{self.location(number)}/{MARKER}", json.dumps(record))
-        self.register(rows.schema, number, defaults)
+        self.register(schema, number, defaults)
         return number
 
     def register(
@@ -113,7 +120,7 @@ class VersionedTable:
             return
         location = self.location(version)
         known = self.spark.catalog.tableExists(self.name)
-        if known and self.spark.table(self.name).schema.names != schema.names:
+        if known and not same_columns(self.spark.table(self.name).schema, schema):
             # Only the catalog entry goes: the table is external.
             self.spark.sql(f"DROP TABLE {self.name}")
             known = False
@@ -150,7 +157,8 @@ class VersionedTable:
                 rows, old, keys, identity, self.highest(identity, old), null_safe
             )
             rows, notes = rows.select(*schema.names), {"highest": highest}
-        return self.publish(rows, required, () if keys_unique else keys, notes, defaults)
+        unique = () if keys_unique else keys
+        return self.publish(rows, required, unique, notes, defaults, declared=schema)
 
     def sync_evolving(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Full-sync merge that accepts new columns; columns that went missing become NULL.
@@ -183,6 +191,10 @@ class VersionedTable:
         return sync_counts(new, old, keys, null_safe)
 
 
+def same_columns(a: StructType, b: StructType) -> bool:
+    return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
+
+
 def table_ddl(schema: StructType, defaults: Mapping[str, str]) -> str:
     """Column list for CREATE TABLE with NOT NULL and DEFAULT."""
     parts = []

@@ -7,7 +7,7 @@ from granary.plans.pipeline import Warehouse
 from granary.plans.storefront import unique_rows
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.sources.landing import extract_query, jdbc_options, read_landing, write_landing
-from granary.sources.tables import RuleViolation
+from granary.sources.tables import RuleViolation, table_ddl
 
 
 def test_extract_queries():
@@ -54,6 +54,16 @@ def test_every_table_is_loaded_and_registered(spark, house):
         assert spark.table(f"house_gold.{name}").count() == house.gold(name).notes()["rows"] > 0
 
 
+def test_table_ddl_declares_required_columns_and_defaults(spark, house):
+    header = source("SalesOrderHeader")
+    text = table_ddl(header.struct, header.defaults)
+    assert "`SalesOrderID` int NOT NULL," in text and "`ShipDate` timestamp," in text
+    assert "`Status` tinyint NOT NULL DEFAULT 1" in text
+    # The catalog keeps types and defaults; Parquet tables do not keep NOT NULL.
+    stored = spark.sql("SHOW CREATE TABLE house_silver.Sales_SalesOrderHeader").first()[0]
+    assert "SalesOrderID BIGINT" in stored and "Status TINYINT DEFAULT 1" in stored
+
+
 def test_checks_are_stored_with_the_table(spark, house):
     header = source("SalesOrderHeader")
     assert read_checks(spark, f"house_silver.{header.full_name}") == dict(header.checks)
