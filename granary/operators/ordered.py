@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.session import scratch_root
+from granary.session import scratch_path
 
 PARTITION, POSITION = "_partition", "_position"
 ROWS_PER_TASK = 1_000_000  # groups up to this size are sorted by one task
@@ -21,23 +21,28 @@ def place_in_order(
 
     Adds the partition number and the row's position in it; partitions follow
     each other in the order of ``order``. Equal values are spread by a hash of
-    the row, so a value that many rows share is split as well. The checkpoint
-    in the shared scratch folder keeps every row in its place when a task or an
-    executor has to be replaced. ``first`` sorts ahead of ``order`` within
-    each partition.
+    the row, so a value that many rows share is split as well. ``first`` sorts
+    ahead of ``order`` within each partition.
+
+    The placed rows are written to the shared scratch folder and read back, so
+    that every later step sees the same places even if executors are lost.
     """
-    scratch_root(df.sparkSession)
+    spark = df.sparkSession
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    placed = (
-        df.repartitionByRange(*order, spread).sortWithinPartitions(*first, *order, spread).checkpoint()
-    )
     row = F.monotonically_increasing_id()
-    return placed.withColumns(
-        {
-            PARTITION: F.shiftright(row, ROW_BITS),
-            POSITION: row.bitwiseAND((1 << ROW_BITS) - 1),
-        }
+    placed = (
+        df.repartitionByRange(*order, spread)
+        .sortWithinPartitions(*first, *order, spread)
+        .withColumns(
+            {
+                PARTITION: F.shiftright(row, ROW_BITS),
+                POSITION: row.bitwiseAND((1 << ROW_BITS) - 1),
+            }
+        )
     )
+    path = scratch_path(spark, "placed")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # Runtime settings the jobs count on. All can be changed on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # A value that does not fit its column stops the load instead of turning NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # One product, territory or order may hold a third of the rows: split its
@@ -23,8 +25,7 @@ def build_session(app: str = "granary", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = RUNTIME_SETTINGS | {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"} | conf
-    for key, value in settings.items():
+    for key, value in (RUNTIME_SETTINGS | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -56,7 +57,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables, reachable by all executors.
+    """Folder for intermediate tables, reachable by all executors.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session
     without that setting gets a temporary folder of its own.

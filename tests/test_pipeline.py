@@ -107,3 +107,15 @@ def test_a_country_that_does_not_exist_stops_the_territory_load(spark, house):
     with pytest.raises(RuleViolation, match="SalesTerritoryCountry"):
         house.load_dimension("DimSalesTerritory")
     assert house.gold("DimSalesTerritory").version() == version
+
+
+def test_empty_tables_load(spark, tmp_path, frame):
+    empty = Warehouse(spark, str(tmp_path), f"{tmp_path}/landing", prefix="empty_", as_of="2002-01-01 00:00:00")
+    for name in ("Sales_Currency", "Sales_SpecialOffer"):
+        rows = unique_rows(spark, "/root/testdata/sf0.001", name)
+        write_landing(rows.limit(0), empty.landing, SOURCES[name])
+        empty.load_bronze(SOURCES[name])
+        empty.load_silver(SOURCES[name])
+        assert empty.silver(SOURCES[name]).read().count() == 0
+    empty.load_dimension("DimPromotion")
+    assert empty.gold("DimPromotion").notes()["highest"] == 0
