@@ -11,6 +11,7 @@ from granary.functions.calendar import calendar_columns
 from granary.operators.conform import typed_null
 from granary.operators.dedup import one_per_key
 from granary.operators.history import match_open_ranges
+from granary.operators.joins import left_join_many
 from granary.operators.shaping import pivot_first, project
 from granary.registry import WAREHOUSE
 
@@ -215,10 +216,12 @@ def product_history(silver: Frames) -> DataFrame:
 
 def dim_product(silver: Frames) -> DataFrame:
     """One row per product version, or one undated row for a product without history."""
-    product, model = silver["Product"].alias("p"), silver["ProductModel"].alias("m")
-    history, text = product_history(silver).alias("h"), product_descriptions(silver).alias("t")
-    # Both model joins come first and share the model's partitioning, since the
-    # history join multiplies rows.
+    model, text = silver["ProductModel"].alias("m"), product_descriptions(silver).alias("t")
+    history = product_history(silver).withColumnsRenamed(
+        {"StandardCost": "VersionCost", "ListPrice": "VersionPrice"}
+    )
+    versions = left_join_many(silver["Product"], history, "ProductID").alias("p")
+    # Model and text meet first, so that the products join them once.
     described = model.join(
         text, F.col("m.ProductModelID") == F.col("t.ProductModelID"), "full"
     ).select(
@@ -226,9 +229,9 @@ def dim_product(silver: Frames) -> DataFrame:
         F.col("m.Name").alias("ModelName"),
         *[f"t.{language}Description" for language in CULTURES.values()],
     ).alias("m")
-    joined = product.join(
+    joined = versions.join(
         described, F.col("p.ProductModelID") == F.col("m.ProductModelID"), "left"
-    ).join(history, F.col("p.ProductID") == F.col("h.ProductID"), "left")
+    )
     named = project(
         joined,
         {
@@ -237,12 +240,12 @@ def dim_product(silver: Frames) -> DataFrame:
             "WeightUnitMeasureCode": "p.WeightUnitMeasureCode",
             "SizeUnitMeasureCode": "p.SizeUnitMeasureCode",
             "EnglishProductName": "p.Name",
-            "StandardCost": "h.StandardCost",
+            "StandardCost": "p.VersionCost",
             "FinishedGoodsFlag": "p.FinishedGoodsFlag",
             "Color": "p.Color",
             "SafetyStockLevel": "p.SafetyStockLevel",
             "ReorderPoint": "p.ReorderPoint",
-            "ListPrice": "h.ListPrice",
+            "ListPrice": "p.VersionPrice",
             "Size": "p.Size",
             "Weight": "p.Weight",
             "DaysToManufacture": "p.DaysToManufacture",
@@ -251,9 +254,9 @@ def dim_product(silver: Frames) -> DataFrame:
             "Style": "p.Style",
             "ModelName": "m.ModelName",
             **{f"{language}Description": f"m.{language}Description" for language in CULTURES.values()},
-            "StartDate": "h.StartDate",
-            "EndDate": "h.EndDate",
-            "Status": F.when(F.col("h.EndDate").isNull(), "Current"),
+            "StartDate": "p.StartDate",
+            "EndDate": "p.EndDate",
+            "Status": F.when(F.col("p.EndDate").isNull(), "Current"),
         },
     )
     unknown = (

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators.history import join_valid_version
+from granary.operators.joins import left_join_many
 from granary.queries import operators
 from granary.session import scratch_root
 
@@ -76,6 +77,14 @@ def test_a_hot_product_is_split(spark, no_broadcast):
         spark.conf.set(k, v)
 
 
+def test_left_join_many(frame, rows):
+    left = frame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    many = frame([(1, 10), (1, 11), (3, 30), (None, 0)], "k int, n int")
+    joined = left_join_many(left, many, "k")
+    assert rows(joined) == rows(left.join(many, "k", "left"))
+    assert joined.columns == left.join(many, "k", "left").columns
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
