@@ -214,6 +214,25 @@ def product_history(silver: Frames) -> DataFrame:
     )
 
 
+def product_version_keys(silver: Frames) -> DataFrame:
+    """The DimProduct columns a fact looks up, one row per version.
+
+    Prices, models and description texts add columns and never rows, so they
+    are not read for this.
+    """
+    product = silver["Product"].select("ProductID", "ProductNumber")
+    cost = silver["ProductCostHistory"].select("ProductID", "StartDate", "EndDate", "StandardCost")
+    return project(
+        left_join_many(product, cost, "ProductID"),
+        {
+            "ProductAlternateKey": "ProductNumber",
+            "StandardCost": "StandardCost",
+            "StartDate": "StartDate",
+            "EndDate": "EndDate",
+        },
+    )
+
+
 def dim_product(silver: Frames) -> DataFrame:
     """One row per product version, or one undated row for a product without history."""
     model, text = silver["ProductModel"].alias("m"), product_descriptions(silver).alias("t")

@@ -58,7 +58,11 @@ def stored_lookup(name: str, spark: SparkSession, sf: str) -> DataFrame:
     can be broadcast.
     """
     spec, columns = WAREHOUSE[name], facts.LOOKUPS[name]
-    rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
+    if name == "DimProduct":
+        frames = silver_frames(spark, sf, ("Product", "ProductCostHistory"))
+        rows = dimensions.product_version_keys(frames)
+    else:
+        rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
     schema = StructType(
         [f for f in spec.schema_for(wide_ids=True) if f.name in (spec.identity, *spec.keys, *columns)]
     )
