@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, exact, token_counts
+from granary.llm import chat, exact, simhash, token_counts
 from granary.llm.common import prepare, table
 
 TOKEN_BUDGET = 512
@@ -21,6 +21,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
