@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from itertools import islice
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +63,9 @@ def no_join_names(df: DataFrame, *taken: str) -> None:
     clash = [c for c in df.columns if c.lower() in {t.lower() for t in taken}]
     if clash:
         raise ValueError(f"columns {clash} are used by the operator itself; rename them first")
+
+
+def forget_half(known: dict[Any, Any]) -> None:
+    """Drop the older half of what a worker remembers."""
+    for key in list(islice(known, len(known) // 2)):
+        del known[key]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, exact, simhash, token_counts
+from granary.llm import bpe, chat, exact, simhash, token_counts
 from granary.llm.common import prepare, table
 
 TOKEN_BUDGET = 512
@@ -26,6 +26,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,

@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import whole_text
+from granary.llm.common import forget_half, whole_text
 
 # Fixed by the tokenizer: how byte-level BPE of this family cuts a text.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-KNOWN_PIECES = 500_000  # pieces, and pairs of tokens, that a worker remembers; it starts afresh beyond
+KNOWN_PIECES = 500_000  # pieces, and pairs of tokens, that a worker remembers
 PLAIN = 0x250  # below this code point all Unicode versions agree on letters, numbers and spaces
 # The White_Space property.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -77,7 +77,7 @@ class Pieces(dict):
         counts = self.work_out(piece)
         if len(piece) <= 64:
             if len(self) >= KNOWN_PIECES:
-                self.clear()
+                forget_half(self)
             self[piece] = counts = bytes(counts)  # no more tokens than bytes: 4 x 64 at most
         return counts
 
@@ -143,7 +143,7 @@ class PrefixCounter:
             else:
                 j += 1
         if len(self.fits) >= KNOWN_PIECES:
-            self.fits.clear()
+            forget_half(self.fits)
         self.fits[a, b] = known
         return known
 
