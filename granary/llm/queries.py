@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, exact, simhash, token_counts
-from granary.llm.common import prepare, table
+from granary.llm import bpe, chat, exact, simhash, token_counts, toxicity
+from granary.llm.common import fold, prepare, table
+from granary.llm.labelled import labelled_sample
 
 TOKEN_BUDGET = 512
 # A conversation whose texts are control strings of chat templates themselves.
@@ -26,6 +27,13 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled_sample(docs, labels, "toxic", 5, 0, toxicity.PER_CLASS)
+    return toxicity.toxicity(docs, toxicity.train(sample), fold(F.col("doc_id"), 5) == 0, 0.5)
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
@@ -72,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,

@@ -234,7 +234,8 @@ def near_groups(
     found = rooted.drop("first").join(firsts, "root").select(
         FP, F.col(f"first.{DOC}").alias("component_id"), F.col(f"first.{ROW}").alias("_first_row")
     )
-    return rows.join(found, FP).select(
+    # Stored, so that the join deals both sides anew and can split a print that many rows share.
+    return rows.join(stored(found, "found"), FP).select(
         F.col(DOC).alias("doc_id"),
         F.lower(F.lpad(F.hex(FP), 16, "0")).alias("fingerprint"),
         "component_id",
