@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, exact, simhash, token_counts, toxicity
+from granary.llm import bpe, chat, exact, quality, simhash, token_counts, toxicity
 from granary.llm.common import fold, prepare, table
 from granary.llm.labelled import labelled_sample
 
@@ -22,6 +22,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled_sample(docs, labels, "quality", 4, 2, quality.PER_CLASS)
+    return quality.quality(docs, quality.train(sample), fold(F.col("doc_id"), 4) == 2, 0.7)
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -79,6 +86,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_toxicity": op3_toxicity,
     "op5_bpe_round_trip": op5_bpe_round_trip,
