@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, exact, quality, simhash, token_counts, toxicity
+from granary.llm import bpe, chat, decontaminate, exact, lines, quality, simhash, token_counts, toxicity
 from granary.llm.common import fold, prepare, table
 from granary.llm.labelled import labelled_sample
 
@@ -41,11 +41,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.train(sample), fold(F.col("doc_id"), 5) == 0, 0.5)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lines.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -89,7 +100,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
