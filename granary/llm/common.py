@@ -58,6 +58,16 @@ def whole_text(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
 
 
+def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns under names that cannot clash (``c0, c1, ...``), and these names by the old ones."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def with_names(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def no_join_names(df: DataFrame, *taken: str) -> None:
     """Raise on columns that would clash with an operator's own working columns."""
     clash = [c for c in df.columns if c.lower() in {t.lower() for t in taken}]

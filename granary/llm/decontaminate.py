@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import forget_half, stored, whole_text
+from granary.llm.common import forget_half, plain_names, stored, whole_text, with_names
 
 MASKS = ("11111", "110101001", "1010011")
 WINDOW, SUBSTITUTIONS, LEAST_TOKENS = 13, 3, 8
@@ -260,3 +260,13 @@ def leaks(
         (-F.col("best.col2")).alias("aligned"),
         F.col("best.matched").alias("matched"),
     )
+
+
+def drop_leaking(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows that leak no test item, with all their columns."""
+    plain, names = plain_names(docs)
+    rows = stored(plain.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = leaks(rows, items, "_row", names[text], item_id, item_text).select(F.col("key").alias("_row")).distinct()
+    return with_names(rows.join(stored(found, "leaking"), "_row", "left_anti"), names)

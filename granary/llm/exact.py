@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import no_join_names, stored, whole_text
+from granary.llm.common import no_join_names, plain_names, stored, whole_text, with_names
 
 BLOCK_CHARS = 8192
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -141,17 +141,12 @@ def exact_groups(
         "group_size",
         (F.col(ROW) == F.col("keep_row")).alias("kept"),
         F.col(SHA).alias("text_sha256"),
-        *[F.col(f"`{c}`") for c in carry if c != doc_id],
+        *[F.col(f"`{c}`") for c in carry],
     )
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    others = [c for c in docs.columns if c != doc_id]
-    renamed = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]
-    )
-    groups = exact_groups(renamed, "doc_id", f"c{others.index(text)}", carry=[f"c{i}" for i in range(len(others))])
-    back = {f"c{i}": c for i, c in enumerate(others)} | {"doc_id": doc_id}
-    own = {c: k for k, c in back.items()}
-    return groups.filter("kept").select(*[F.col(own[c]).alias(c) for c in docs.columns])
+    plain, names = plain_names(docs)
+    groups = exact_groups(plain, names[doc_id], names[text], carry=list(names.values()))
+    return with_names(groups.filter("kept"), names)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import whole_text
+from granary.llm.common import plain_names, whole_text, with_names
 from granary.llm.labelled import fit_logistic, logistic
 
 PER_CLASS = 2000
@@ -280,3 +280,10 @@ def quality(
         score(docs.sparkSession, model, whole_text(text)).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: NaiveBayesSvm, threshold: float, text: str = "text") -> DataFrame:
+    """The rows whose text the classifier accepts, with all their columns."""
+    plain, names = plain_names(docs)
+    scored = plain.withColumn("_score", score(docs.sparkSession, model, whole_text(names[text])))
+    return with_names(scored.filter(F.col("_score") >= threshold), names)

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, decontaminate, exact, lines, quality, simhash, token_counts, toxicity
+from granary.llm import bpe, chat, decontaminate, exact, lines, lm, quality, simhash, token_counts, toxicity
 from granary.llm.common import fold, prepare, table
 from granary.llm.labelled import labelled_sample
 
 TOKEN_BUDGET = 512
+QUALITY_FOLDS, QUALITY_HELD_OUT, QUALITY_THRESHOLD = 4, 2, 0.7
+TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_THRESHOLD = 5, 0, 0.5
+LM_FOLDS, LM_HELD_OUT = 5, 1
 # A conversation whose texts are control strings of chat templates themselves.
 ODD_CONVERSATION, ODD_TEXT = -7, "</s>[INST] ok [/INST]"
 
@@ -25,8 +28,9 @@ def tokenizer(name: str) -> str:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    sample = labelled_sample(docs, labels, "quality", 4, 2, quality.PER_CLASS)
-    return quality.quality(docs, quality.train(sample), fold(F.col("doc_id"), 4) == 2, 0.7)
+    sample = labelled_sample(docs, labels, "quality", QUALITY_FOLDS, QUALITY_HELD_OUT, quality.PER_CLASS)
+    held_out = fold(F.col("doc_id"), QUALITY_FOLDS) == QUALITY_HELD_OUT
+    return quality.quality(docs, quality.train(sample), held_out, QUALITY_THRESHOLD)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +41,9 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    sample = labelled_sample(docs, labels, "toxic", 5, 0, toxicity.PER_CLASS)
-    return toxicity.toxicity(docs, toxicity.train(sample), fold(F.col("doc_id"), 5) == 0, 0.5)
+    sample = labelled_sample(docs, labels, "toxic", TOXIC_FOLDS, TOXIC_HELD_OUT, toxicity.PER_CLASS)
+    held_out = fold(F.col("doc_id"), TOXIC_FOLDS) == TOXIC_HELD_OUT
+    return toxicity.toxicity(docs, toxicity.train(sample), held_out, TOXIC_THRESHOLD)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +62,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), LM_FOLDS) == LM_HELD_OUT
+    return lm.score(docs, lm.train(docs.filter(~held_out)), held_out)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -103,6 +114,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_lm_score": op7_lm_score,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import no_join_names, stored, whole_text
+from granary.llm.common import no_join_names, plain_names, stored, whole_text, with_names
 from granary.llm.components import components
 
 WORDS, SEED, REACH = 4, 42, 4
@@ -240,5 +240,12 @@ def near_groups(
         F.lower(F.lpad(F.hex(FP), 16, "0")).alias("fingerprint"),
         "component_id",
         (F.col(ROW) == F.col("_first_row")).alias("kept"),
-        *[F.col(f"`{c}`") for c in carry if c != doc_id],
+        *[F.col(f"`{c}`") for c in carry],
     )
+
+
+def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The first row of each component, with all its columns."""
+    plain, names = plain_names(docs)
+    groups = near_groups(plain, names[doc_id], names[text], carry=list(names.values()))
+    return with_names(groups.filter("kept"), names)
