@@ -31,10 +31,15 @@ def fill_times(df: DataFrame, columns: Sequence[str], as_of: AsOf = None) -> Dat
 
 
 def row_id(label: str, keys: Sequence[str]) -> Column:
-    """A row id made from the key, in UUID layout; the same key gives the same id."""
-    parts = ", ".join(f"coalesce(cast(`{k}` AS string), '')" for k in keys)
-    digest = f"md5(concat_ws('|', '{label}', {parts}))"
-    return F.expr(f"regexp_replace({digest}, '{HEX_GROUPS}', '$1-$2-$3-$4-$5')")
+    """A row id made from the key, in UUID layout; the same key gives the same id.
+
+    Each part goes in with its length in front, and a NULL part as ``-``, so
+    that different keys never give the same text.
+    """
+    text = [F.col(f"`{k}`").cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
+    digest = F.md5(F.concat(F.lit(f"{label}|"), *parts))
+    return F.regexp_replace(digest, HEX_GROUPS, "$1-$2-$3-$4-$5")
 
 
 def fill_row_id(df: DataFrame, label: str, keys: Sequence[str], column: str = "rowguid") -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from granary.session import scratch_path
 
 PARTITION, POSITION = "_partition", "_position"
-ROWS_PER_TASK = 1_000_000  # groups up to this size are sorted by one task
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
 
 
@@ -50,26 +49,13 @@ def cluster_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group, from the group columns alone."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def number_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, largest: int
-) -> DataFrame:
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Number the rows of each group from 1, as an INT, whatever the group's size.
 
-    ``largest`` says how large groups get and decides the way only. Groups of a
-    size one task can sort take a window. Beyond it rows are placed in range
-    partitions, so that a large group is spread over several; each row's number
-    is then its number within the partition plus the rows that its group has in
-    earlier partitions.
+    Rows are placed in range partitions, so that a large group is spread over
+    several; a row's number is its number within the partition plus the rows
+    that its group has in earlier partitions. Every row is kept.
     """
-    if largest <= ROWS_PER_TASK:
-        whole = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(whole))
     placed = place_in_order(df, [*group, *order])
     here = [PARTITION, *group]
     earlier = Window.partitionBy(*group).orderBy(PARTITION).rowsBetween(

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.operators.ordered import number_rows
+
 
 def pivot_first(
     df: DataFrame, keys: Sequence[str], pivot: Column, values: Mapping[str, str], pick: str, order: str
@@ -24,23 +26,13 @@ def pivot_first(
     return df.groupBy(*keys).agg(*firsts)
 
 
-def number_lines(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, limit: int = 127
-) -> DataFrame:
+def number_lines(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Number the rows of each group from 1, as a TINYINT.
 
-    A group with more rows than the type can number raises, and it does so
-    without reaching one task whole: the group limit in front of the shuffle
-    passes on at most ``limit`` + 1 rows per group and map task, and the extra
-    row is the one that raises.
+    All rows are numbered and none is left out, so counts and sums over the
+    result are exact; reading a number beyond the type's range raises.
     """
-    numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    within = numbered.filter(F.col(name) <= limit + 1)
-    too_many = F.raise_error(
-        F.concat_ws(" ", F.lit(f"more than {limit} lines in"), *[F.col(g).cast("string") for g in group])
-    )
-    checked = F.when(F.col(name) <= limit, F.col(name)).otherwise(too_many.cast("int"))
-    return within.withColumn(name, checked.cast("tinyint"))
+    return number_rows(df, group, order, name).withColumn(name, F.col(name).cast("tinyint"))
 
 
 def project(df: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:

@@ -8,13 +8,13 @@ surrogate keys of matched rows; only those need a join with the old table.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from granary.operators.conform import cast_to, typed_null
+from granary.operators.identity import complete_key
 
 
 def to_sink(source: DataFrame, sink: StructType, generated: Sequence[str] = ()) -> DataFrame:
@@ -26,12 +26,14 @@ def to_sink(source: DataFrame, sink: StructType, generated: Sequence[str] = ())
     return cast_to(source, wanted)
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once; a key with a NULL part matches nothing and may repeat."""
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (
-        df.filter(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    )
+def duplicate_keys(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Keys that occur more than once.
+
+    A key with a NULL part matches nothing and may repeat, unless keys match null-safely.
+    """
+    compared = df if null_safe else df.filter(complete_key(keys))
+    copies = compared.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
+    return copies.select(*keys, F.col("_copies").alias("n"))
 
 
 def sync_counts(
@@ -46,8 +48,7 @@ def sync_counts(
     s = source.select(*keys, F.lit(1).alias("s"), F.lit(0).alias("t"))
     t = target.select(*keys, F.lit(0).alias("s"), F.lit(1).alias("t"))
     per_key = s.unionByName(t).groupBy(*keys).agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    comparable = F.lit(True) if null_safe else complete
+    comparable = F.lit(True) if null_safe else complete_key(keys)
     matched = comparable & (F.col("s") > 0) & (F.col("t") > 0)
     total = {
         "inserted": F.when(~matched, F.col("s")).otherwise(0),

@@ -138,7 +138,7 @@ def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> Dat
     numbered = number_lines(
         named,
         ["SalesOrderNumber"],
-        [F.col("_order"), F.col("_line"), F.col("ProductKey")],
+        ["_order", "_line", "ProductKey"],
         "SalesOrderLineNumber",
     )
     return numbered.select(*WAREHOUSE["FactInternetSales"].struct.names)

@@ -48,7 +48,8 @@ def gold_dimension(name: str, spark: SparkSession, sf: str) -> DataFrame:
     schema = spec.schema_for(wide_ids=True)
     if spec.identity is None:
         return to_sink(rows, schema)
-    return assign_identity(to_sink(rows, schema, (spec.identity,)), None, spec.keys, spec.identity)[0]
+    sink = to_sink(rows, schema, (spec.identity,))
+    return assign_identity(sink, None, spec.keys, spec.identity, null_safe=spec.null_safe_keys)[0]
 
 
 def stored_lookup(name: str, spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from granary.functions.calendar import date_key
 from granary.functions.sales import MONEY, discount_amount, order_id, sales_amount
 from granary.operators import checks, conform, dedup, fills, history, shaping, sync
 from granary.operators.identity import assign_identity
-from granary.operators.ordered import largest_group, number_rows
+from granary.operators.ordered import number_rows
 from granary.plans.dimensions import describe_days
 from granary.plans.storefront import part_versions, table
 from granary.registry import SourceTable
@@ -89,6 +89,18 @@ def fill_row_id(spark: SparkSession, sf: str) -> DataFrame:
     return fills.fill_row_id(rows, "orders", ["o_orderkey"])
 
 
+def fill_row_id_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Row ids of a two-part text key with empty, missing and separator-like parts."""
+    number = F.col("doc_id") % 4
+    rows = table(spark, sf, "documents").select(
+        "doc_id",
+        F.concat(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")), F.lit("|")).alias("a"),
+        F.when(number == 1, "").when(number > 1, F.concat("source", F.lit("|"))).alias("b"),
+        F.lit(None).cast("string").alias("rowguid"),
+    )
+    return fills.fill_row_id(rows, "documents", ["a", "b"]).select("doc_id", "rowguid")
+
+
 def account_number(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").select("c_custkey", F.lit(None).cast("string").alias("acct"))
     text = "concat('AW', right(concat('00000000', cast(c_custkey AS STRING)), 8))"
@@ -186,12 +198,32 @@ def merge_counts(spark: SparkSession, sf: str) -> DataFrame:
     return sync.sync_counts(_later_customers(spark, sf), _earlier_customers(spark, sf), ["id"])
 
 
-def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    suppliers = table(spark, sf, "supplier").select(
+def _suppliers_by_nullable_key(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").select(
         F.when(F.col("s_acctbal") >= 1000, F.col("s_suppkey")).alias("k"),
         F.col("s_name").alias("n"),
         "s_nationkey",
     )
+
+
+def merge_null_safe_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with a NULL key part keep their surrogate key over three loads."""
+    suppliers = _suppliers_by_nullable_key(spark, sf)
+    schema = StructType.fromDDL("id BIGINT, k BIGINT, n STRING, s_nationkey INT")
+    target = VersionedTable(spark, scratch_path(spark, "merge_null_safe"))
+    for left_out in (1, 2, 2):
+        rows = suppliers.filter(F.col("s_nationkey") != left_out)
+        target.sync(rows, ["k", "n"], schema, identity="id", null_safe=True)
+    return target.read()
+
+
+def merge_null_safe_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    suppliers = _suppliers_by_nullable_key(spark, sf)
+    return sync.duplicate_keys(suppliers, ["k", "s_nationkey"], null_safe=True)
+
+
+def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    suppliers = _suppliers_by_nullable_key(spark, sf)
     target = suppliers.filter(F.col("s_nationkey") != 1)
     source = suppliers.filter(F.col("s_nationkey") != 2)
     plain = sync.sync_counts(source, target, ["k", "n"])
@@ -407,8 +439,13 @@ def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
             "line": "l_linenumber",
         },
     )
-    largest = largest_group(table(spark, sf, "lineitem"), ["l_orderkey"])
-    return number_rows(named, ["son"], ["line", "pk"], "ln", largest).drop("line")
+    return number_rows(named, ["son"], ["line", "pk"], "ln").drop("line")
+
+
+def number_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events numbered per user, groups of any size."""
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    return number_rows(events, ["user_id"], ["ts", "event_id"], "n")
 
 
 def fact_sales_reason(spark: SparkSession, sf: str) -> DataFrame:
@@ -470,6 +507,7 @@ OPERATOR_QUERIES = {
         fill_defaults,
         fill_typed,
         fill_row_id,
+        fill_row_id_composite,
         account_number,
         guarded_total,
         checks_accept,
@@ -481,6 +519,8 @@ OPERATOR_QUERIES = {
         merge_identity,
         merge_counts,
         merge_null_keys,
+        merge_null_safe_identity,
+        merge_null_safe_duplicates,
         merge_duplicate_source,
         bronze_load,
         schema_evolution,
@@ -495,6 +535,7 @@ OPERATOR_QUERIES = {
         scd_range_join,
         version_overlap,
         fact_sales,
+        number_events,
         fact_lookups,
         fact_sales_reason,
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,6 +79,8 @@ class VersionedTable:
         notes: Mapping[str, Any] | None = None,
         defaults: Mapping[str, str] | None = None,
         declared: StructType | None = None,
+        null_safe: bool = False,
+        keys: Sequence[str] = (),
     ) -> int:
         """Write ``rows`` as the next version, audit it and make it current.
 
@@ -100,9 +103,14 @@ class VersionedTable:
         written = self.spark.read.schema(rows.schema).parquet(self.location(number))
         missing = {c: counts[f"missing_{c}"] for c in required if counts[f"missing_{c}"]}
         if missing:
-            raise RuleViolation(f"{self.name or self.path}: required values missing: {missing}")
+            empty = written.filter(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in missing]))
+            named = [c for c in keys or unique if c in written.columns] or written.columns[:3]
+            examples = [tuple(r) for r in empty.select(*[f"`{c}`" for c in named]).limit(5).collect()]
+            raise RuleViolation(
+                f"{self.name or self.path}: required values missing: {missing}; at {tuple(named)}: {examples}"
+            )
         if unique:
-            doubled = duplicate_keys(written, unique).limit(5).collect()
+            doubled = duplicate_keys(written, unique, null_safe).limit(5).collect()
             if doubled:
                 keys = [tuple(r)[:-1] for r in doubled]
                 raise RuleViolation(f"{self.name or self.path}: keys {tuple(unique)} repeat: {keys}")
@@ -158,7 +166,7 @@ class VersionedTable:
             )
             rows, notes = rows.select(*schema.names), {"highest": highest}
         unique = () if keys_unique else keys
-        return self.publish(rows, required, unique, notes, defaults, declared=schema)
+        return self.publish(rows, required, unique, notes, defaults, schema, null_safe, keys)
 
     def sync_evolving(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Full-sync merge that accepts new columns; columns that went missing become NULL.

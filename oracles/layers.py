@@ -80,7 +80,8 @@ def columns_of(ddl: str) -> list[tuple[str, str]]:
 
 
 def uuid_text(label: str, keys: tuple[str, ...]) -> str:
-    text = " || '|' || ".join([f"'{label}'", *[f"cast({k} AS varchar)" for k in keys]])
+    sized = [f"coalesce(length(cast({k} AS varchar)) || ':' || cast({k} AS varchar), '-')" for k in keys]
+    text = " || ".join([f"'{label}|'", *sized])
     groups = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
     return f"regexp_replace(md5({text}), '{groups}', '\\1-\\2-\\3-\\4-\\5')"
 

@@ -21,7 +21,7 @@ MT = """(SELECT row_number() OVER (ORDER BY c_custkey) k, c_custkey id, c_name n
   FROM customer WHERE c_mktsegment <> 'BUILDING')"""
 MS = "(SELECT c_custkey id, concat(c_name, '*') nm FROM customer WHERE c_acctbal >= 0)"
 
-SUPPLIERS = """SELECT CASE WHEN s_acctbal >= 1000 THEN s_suppkey END k, s_name n, 1 here FROM supplier"""
+SUPPLIERS = """SELECT CASE WHEN s_acctbal >= 1000 THEN s_suppkey END k, s_name n, s_nationkey, 1 here FROM supplier"""
 NULL_KEY_COUNTS = """SELECT '{mode}' m, count(CASE WHEN t.here IS NULL THEN 1 END) inserted,
   count(CASE WHEN t.here IS NOT NULL AND s.here IS NOT NULL THEN 1 END) updated,
   count(CASE WHEN s.here IS NULL THEN 1 END) deleted
@@ -85,9 +85,19 @@ OPERATOR_ORACLES = {
           trim(concat('  ', c_mktsegment, ' ')) seg FROM customer""",
     "fill_row_id": """
         SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE
-          regexp_replace(md5(concat('orders|', cast(o_orderkey AS varchar))),
+          regexp_replace(md5(concat('orders|', length(cast(o_orderkey AS varchar)), ':', cast(o_orderkey AS varchar))),
             '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') END rowguid
         FROM orders""",
+    "fill_row_id_composite": """
+        SELECT doc_id, CASE WHEN a IS NOT NULL THEN regexp_replace(md5(concat('documents|',
+            length(a), ':', a, CASE WHEN b IS NULL THEN '-' ELSE concat(length(b), ':', b) END)),
+            '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') END rowguid
+        FROM (SELECT doc_id, concat(CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END, '|') a,
+          CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN '' ELSE concat(source, '|') END b
+          FROM documents) t""",
+    "number_events": """
+        SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) n
+        FROM events""",
     "account_number": """
         SELECT c_custkey, concat('AW', right(concat('00000000', cast(c_custkey AS varchar)), 8)) acct
         FROM customer""",
@@ -131,6 +141,14 @@ OPERATOR_ORACLES = {
     + NULL_KEY_COUNTS.format(
         mode="null_safe", suppliers=SUPPLIERS, match="s.k IS NOT DISTINCT FROM t.k AND s.n = t.n"
     ),
+    "merge_null_safe_identity": f"""
+        WITH s AS ({SUPPLIERS}), t AS (
+          SELECT row_number() OVER (ORDER BY k NULLS FIRST, n) id, k, n FROM s WHERE s_nationkey <> 1)
+        SELECT coalesce(t.id, (SELECT max(id) FROM t)
+          + row_number() OVER (PARTITION BY t.id IS NULL ORDER BY s.k NULLS FIRST, s.n)) id, s.k, s.n, s.s_nationkey
+        FROM s LEFT JOIN t ON s.k IS NOT DISTINCT FROM t.k AND s.n = t.n WHERE s.s_nationkey <> 2""",
+    "merge_null_safe_duplicates": f"""
+        SELECT k, s_nationkey, count(*) n FROM ({SUPPLIERS}) s GROUP BY 1, 2 HAVING count(*) > 1""",
     "merge_duplicate_source": """
         SELECT l_orderkey, l_linenumber, count(*) n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "bronze_load": """

@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from granary.operators import identity
 from granary.operators.identity import assign_identity
 from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
 from granary.sources.tables import RuleViolation, TableNotFound, VersionedTable, create_layers
@@ -97,6 +98,30 @@ def test_new_and_missing_columns(table, frame, rows):
 def test_duplicates_ignore_incomplete_keys(frame, rows):
     df = frame([(1, 1), (1, 1), (1, None), (1, None), (2, 1)], "a int, b int")
     assert rows(duplicate_keys(df, ["a", "b"])) == [(1, 1, 2)]
+    assert rows(duplicate_keys(df, ["a", "b"], null_safe=True)) == [(1, 1, 2), (1, None, 2)]
+
+
+def test_null_safe_keys_stay_and_repeats_are_refused(table, frame, rows):
+    schema, keys = StructType.fromDDL("sk BIGINT, k STRING, d INT, v INT"), ["k", "d"]
+    batch = [("a", None, 1), ("a", 1, 2), (None, None, 3)]
+    for v in (0, 10, 20):
+        new = frame([(k, d, n + v) for k, d, n in batch], "k string, d int, v int")
+        table.sync(new, keys, schema, identity="sk", null_safe=True)
+        assert rows(table.read().select("sk", "k", "d")) == [(1, None, None), (2, "a", None), (3, "a", 1)]
+    with pytest.raises(RuleViolation, match="repeat"):
+        table.sync(frame([("a", None, 1), ("a", None, 2)], "k string, d int, v int"), keys, schema, "sk", True)
+    assert table.read().count() == 3
+
+
+def test_only_key_columns_of_new_rows_are_placed(table, frame, rows, monkeypatch):
+    placed = []
+    real = identity.place_in_order
+    monkeypatch.setattr(identity, "place_in_order", lambda df, *a, **k: placed.append(df.columns) or real(df, *a, **k))
+    table.sync(frame([(1, "x"), (2, "y")], "k int, v string"), ["k"], KEYED, identity="sk")
+    table.sync(frame([(1, "z"), (2, "y")], "k int, v string"), ["k"], KEYED, identity="sk")
+    assert placed == [["k"]]
+    table.sync(frame([(1, "z"), (None, "n"), (None, "m"), (3, "w")], "k int, v string"), ["k"], KEYED, identity="sk")
+    assert [r[0] for r in rows(table.read().orderBy("sk"))] == [1, 3, 4, 5]
 
 
 def test_catalog_entry_follows_the_versions(spark, tmp_path, frame, rows):
