@@ -49,24 +49,22 @@ FLUSH_TOKENS = 2_000_000  # tokens that a task counts before it passes them on
 PAIR_BITS = 40  # of each word's hash in a pair
 START, END = 0x5EED << 48, 0xE4D << 48
 STEP = np.uint64(0x9E3779B97F4A7C15)
-MOST_SLICES = 1 << 12
+MOST_SLICES = 1 << 16
 
 
-class Words:
+class Words(dict):
     """Hashes of words, worked out once per word."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = known = xxhash.xxh64_intdigest(word)
+        return known
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "surrogatepass").lower().split()
-        if len(self.known) > KNOWN_WORDS:
-            forget_half(self.known)
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
+        if len(self) > KNOWN_WORDS:
+            forget_half(self)
         out = np.empty(len(words) + 1, dtype=np.uint64)
-        out[:-1] = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        out[:-1] = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
         out[-1] = END
         return out
 
@@ -109,19 +107,14 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def counted(keys: tuple[np.ndarray, ...], weights: np.ndarray | None = None) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """Different keys in order, and how often each occurs."""
-    order = np.lexsort(keys[::-1])
-    keys = tuple(k[order] for k in keys)
-    new = np.ones(len(order), dtype=bool)
-    if len(order):
-        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    starts = np.flatnonzero(new)
-    if weights is None:
-        n = np.diff(np.append(starts, len(order)))
-    else:
-        n = np.add.reduceat(weights[order], starts) if len(starts) else np.zeros(0, dtype=np.int64)
-    return tuple(k[new] for k in keys), n
+def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the different keys, in key order, and how often each occurs."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+    if weights is None or not len(keys):
+        return order[starts], np.diff(np.append(starts, len(keys)))
+    return order[starts], np.add.reduceat(weights[order], starts)
 
 
 def flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -143,9 +136,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in flushes(batches):
             if held:
-                (word,), n = counted((np.concatenate(held),))
+                words = np.concatenate(held)
+                place, n = counted(words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
+                    [pa.array(words[place].view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
                 )
 
     return texts.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -158,9 +152,11 @@ def pair_counts(texts: DataFrame, frequent: np.ndarray, slices: int) -> DataFram
         for held in flushes(batches):
             if not held:
                 continue
-            first, second = short(befores(held)), short(np.concatenate(held))
-            (high, low), n = counted(pair_keys(first, second))
-            numbers = slice_numbers(high >> np.uint64(24), pair_hash(high, low), frequent, slices)
+            high, low = pair_keys(short(befores(held)), short(np.concatenate(held)))
+            keys = pair_hash(high, low)
+            place, n = counted(keys)
+            high, low, keys = high[place], low[place], keys[place]
+            numbers = slice_numbers(high >> np.uint64(24), keys, frequent, slices)
             for at in range(0, len(n), 200_000):
                 part = slice(at, at + 200_000)
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +192,7 @@ def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> str:
     return f"{folder.rstrip('/')}/{path.rsplit('/', 1)[1]}"
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=1 << 14)
 def mapped(uri: str) -> np.memmap:
     """A file as memory-mapped bytes; one of a remote store is copied, mapped and unlinked first."""
     fs, path = filesystem(uri)
@@ -226,20 +222,14 @@ SLICE_LAYOUT = ("<u8", "<u8", "<u4", "<u8", "<u4", "<u4", "<u4", "<u4")
 
 def context_totals(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """First words in order, and their totals: all pairs, pairs seen once, twice, more often."""
+    order = np.argsort(first)
+    first, n = first[order], n[order]
     starts = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
     kinds = [np.add.reduceat((n == k).astype(np.int64), starts) for k in (1, 2)]
     rest = np.diff(np.append(starts, len(n))) - kinds[0] - kinds[1]
     return first[starts], [np.add.reduceat(n, starts), *kinds, rest]
 
 
-def slice_arrays(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    """The arrays of a slice from its pairs, which come in order and once each."""
-    keys, more = pair_hash(high, low), n > 1
-    order = np.argsort(keys[more])
-    contexts, totals = context_totals(high >> np.uint64(24), n)
-    return [np.sort(keys[~more]), keys[more][order], n[more][order], contexts, *totals]
-
-
 def write_slices(pairs: DataFrame, folder: str, frequent: np.ndarray, slices: int) -> DataFrame:
     """Write the pair arrays and return what the word level needs, stored.
 
@@ -262,43 +252,46 @@ def write_slices(pairs: DataFrame, folder: str, frequent: np.ndarray, slices: in
             names=["kind", "word", "a", "b", "c", "d", "path", "notes"],
         )
 
-    def close(number: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        columns = [np.concatenate(c) for c in zip(*held)]
-        (high, low), n = counted((columns[0], columns[1]), columns[2])
-        second = (high & np.uint64(0xFFFFFF)) << np.uint64(16) | low
-        (word,), kinds = counted((second,))
-        yield rows(0, word, [kinds])
-        spread = among(high >> np.uint64(24), frequent)
+    def close(number: int, high: np.ndarray, low: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys = pair_hash(high, low)
+        place, n = counted(keys, n)
+        high, low, keys = high[place], low[place], keys[place]
+        first, second = high >> np.uint64(24), (high & np.uint64(0xFFFFFF)) << np.uint64(16) | low
+        place, kinds = counted(second)
+        yield rows(0, second[place], [kinds])
+        spread = among(first, frequent)
         if spread.any():
-            yield rows(1, *context_totals((high >> np.uint64(24))[spread], n[spread]))
-        arrays = slice_arrays(high, low, n)
+            yield rows(1, *context_totals(first[spread], n[spread]))
+        contexts, totals = context_totals(first, n)
+        arrays = [keys[n == 1], keys[n > 1], n[n > 1], contexts, *totals]
         typed = {str(i): a.astype(kind) for i, (a, kind) in enumerate(zip(arrays, SLICE_LAYOUT))}
         path = write_arrays(folder, f"slice-{number}", typed)
         notes = [*[len(a) for a in arrays], *[int((n == k).sum()) for k in (1, 2, 3, 4)]]
         yield rows(2, np.array([number]), [], path, notes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        own = -1
-        for batch in batches:
-            numbers = batch.column("slice").to_numpy()
-            columns = [
+        held = [
+            (
+                batch.column("slice").to_numpy().astype(np.uint16),
                 batch.column("high").to_numpy().view(np.uint64),
-                batch.column("low").to_numpy().astype(np.uint64),
-                batch.column("n").to_numpy().astype(np.int64),
-            ]
-            starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else []
-            for start, end in zip(starts, [*starts[1:], len(numbers)]):
-                if held and numbers[start] != own:
-                    yield from close(own, held)
-                    held = []
-                own = int(numbers[start])
-                held.append(tuple(c[start:end] for c in columns))
-        if held:
-            yield from close(own, held)
-
-    dealt = pairs.repartition(slices, "slice").sortWithinPartitions("slice")
-    written = dealt.mapInArrow(
+                batch.column("low").to_numpy().astype(np.uint16),
+                batch.column("n").to_numpy(),
+            )
+            for batch in batches
+            if batch.num_rows
+        ]
+        if not held:
+            return
+        numbers, high, low, n = (np.concatenate(c) for c in zip(*held))
+        del held
+        order = np.argsort(numbers, kind="stable")
+        ends = np.cumsum(np.bincount(numbers, minlength=slices))
+        for number, (start, end) in enumerate(zip([0, *ends[:-1]], ends)):
+            if end > start:
+                own = order[start:end]
+                yield from close(number, high[own], low[own].astype(np.uint64), n[own].astype(np.int64))
+
+    written = pairs.repartition("slice").mapInArrow(
         write,
         "kind int, word bigint, a bigint, b bigint, c bigint, d bigint, path string, notes array<bigint>",
     )
@@ -377,11 +370,11 @@ class Model:
         share = self.word_share / (self.words + 1)
         d = self.word_discounts[np.minimum(second, 3)]
         below = (np.maximum(second - d, 0) / self.pairs + share) if self.pairs else np.full(len(word), share)
-        p, seen = below[back], seen[back]
-        first = short(befores(texts))
-        high, low = pair_keys(first, short(tokens))
-        keys = pair_hash(high, low)
-        numbers = slice_numbers(first, keys, self.frequent, self.slice_count)
+        high, low = pair_keys(short(befores(texts)), short(tokens))
+        # Each different pair once, in the order of the keys, as the arrays are.
+        keys, place, pair = np.unique(pair_hash(high, low), return_index=True, return_inverse=True)
+        first, p = high[place] >> np.uint64(24), below[back[place]]
+        numbers = slice_numbers(first, keys, self.frequent, self.slice_count).astype(np.uint16)
         order = np.argsort(numbers, kind="stable")
         numbers = numbers[order]
         n, totals = np.zeros(len(p), dtype=np.int64), np.zeros((4, len(p)), dtype=np.int64)
@@ -398,7 +391,7 @@ class Model:
         d, total = self.pair_discounts, totals[0, own]
         given = (d[1:] @ totals[1:, own]) / total
         p[own] = np.maximum(n[own] - d[np.minimum(n[own], 3)], 0) / total + given * p[own]
-        return seen, np.log10(p)
+        return seen[back], np.log10(p)[pair]
 
 
 def gather(totals: np.ndarray, rows: np.ndarray, first: np.ndarray, contexts: np.ndarray, known: list) -> None:
@@ -419,8 +412,8 @@ def at_keys(known: np.ndarray, values: np.ndarray | None, keys: np.ndarray) -> n
 
 
 def slice_count(spark: SparkSession) -> int:
-    """A power of two that grows with the shuffle partitions, and so with the data they are set for."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """A power of two, a few times the shuffle partitions, and so in step with the data they are set for."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return min(MOST_SLICES, 1 << max(4, (wanted - 1).bit_length()))
 
 
