@@ -24,3 +24,8 @@ def product_cost(quantity: Column, unit_cost: Column) -> Column:
 def order_id(order_number: Column) -> Column:
     """The number behind the two-letter prefix, NULL where it is not a number."""
     return F.substring(order_number, 3, F.length(order_number)).try_cast("bigint")
+
+
+def account_number(customer_id: Column) -> Column:
+    """The prefix and the last eight digits of the customer's number, padded with zeros."""
+    return F.concat(F.lit("AW"), F.lpad(F.right(customer_id.cast("string"), F.lit(8)), 8, "0"))

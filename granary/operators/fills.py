@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -46,11 +46,15 @@ def fill_row_id(df: DataFrame, label: str, keys: Sequence[str], column: str = "r
     return df.withColumn(column, F.coalesce(F.col(column), row_id(label, keys)))
 
 
-def fill_derived(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
-    """Fill a column from a SQL expression over its row."""
+def fill_derived(
+    df: DataFrame, expressions: Mapping[str, tuple[Callable[[Column], Column], str]]
+) -> DataFrame:
+    """Fill a column from a function of another column of its row."""
     if not expressions:
         return df
-    return df.withColumns({c: F.coalesce(F.col(c), F.expr(sql)) for c, sql in expressions.items()})
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), derive(F.col(source))) for c, (derive, source) in expressions.items()}
+    )
 
 
 def guard_totals(df: DataFrame, operands: Mapping[str, str]) -> DataFrame:

@@ -59,7 +59,14 @@ def sync_counts(
 
 
 def align_columns(df: DataFrame, known: StructType) -> DataFrame:
-    """Add the known columns that ``df`` lacks as typed NULLs, known columns first."""
-    added = {f.name: typed_null(f.dataType) for f in known if f.name not in df.columns}
-    extra = [c for c in df.columns if c not in known.names]
-    return df.withColumns(added).select(*[f"`{c}`" for c in (*known.names, *extra)])
+    """Known columns first and in their known types, then new ones.
+
+    A known column that ``df`` lacks becomes a typed NULL. One that comes in
+    another type is cast to the known one; a value that does not fit raises.
+    """
+    present = set(df.columns)
+    kept = [
+        (F.col(f"`{f.name}`").cast(f.dataType) if f.name in present else typed_null(f.dataType)).alias(f.name)
+        for f in known
+    ]
+    return df.select(*kept, *[f"`{c}`" for c in df.columns if c not in known.names])

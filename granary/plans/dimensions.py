@@ -109,13 +109,24 @@ def dim_sales_territory(silver: Frames) -> DataFrame:
     )
 
 
+def repeated_contacts(silver: Frames) -> DataFrame:
+    """Persons with several phones or email addresses, from the narrow key columns."""
+    kinds = {"PersonPhone": "phone", "EmailAddress": "email"}
+    found = [
+        silver[name].groupBy("BusinessEntityID").count().filter("count > 1").withColumn("contact", F.lit(kind))
+        for name, kind in kinds.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 def dim_customer(silver: Frames, one_contact: bool = False) -> DataFrame:
     """Customers with their person, contacts, address and demographics.
 
     Addresses meet their entity first. All joins to the customer are then on
     the person, so the customer side shuffles once for the five of them. A
-    person with several phones or email addresses repeats the customer, which
-    the merge refuses; ``one_contact`` keeps the lowest of each instead.
+    person with several phones or email addresses would repeat the customer:
+    the load refuses it ahead of the joins, see :func:`repeated_contacts`;
+    ``one_contact`` keeps the lowest of each instead.
     """
     phones = silver["PersonPhone"].select("BusinessEntityID", "PhoneNumber")
     emails = silver["EmailAddress"].select("BusinessEntityID", "EmailAddressID", "EmailAddress")
@@ -214,25 +225,6 @@ def product_history(silver: Frames) -> DataFrame:
     )
 
 
-def product_version_keys(silver: Frames) -> DataFrame:
-    """The DimProduct columns a fact looks up, one row per version.
-
-    Prices, models and description texts add columns and never rows, so they
-    are not read for this.
-    """
-    product = silver["Product"].select("ProductID", "ProductNumber")
-    cost = silver["ProductCostHistory"].select("ProductID", "StartDate", "EndDate", "StandardCost")
-    return project(
-        left_join_many(product, cost, "ProductID"),
-        {
-            "ProductAlternateKey": "ProductNumber",
-            "StandardCost": "StandardCost",
-            "StartDate": "StartDate",
-            "EndDate": "EndDate",
-        },
-    )
-
-
 def dim_product(silver: Frames) -> DataFrame:
     """One row per product version, or one undated row for a product without history."""
     model, text = silver["ProductModel"].alias("m"), product_descriptions(silver).alias("t")

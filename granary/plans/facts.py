@@ -14,6 +14,7 @@ from granary.operators.fills import AsOf
 from granary.operators.history import join_valid_version
 from granary.operators.shaping import number_lines, project
 from granary.registry import WAREHOUSE
+from granary.session import stored
 
 Frames = Mapping[str, DataFrame]
 
@@ -75,10 +76,12 @@ def product_versions(silver: Frames, gold: Frames) -> DataFrame:
 def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> DataFrame:
     """Lines of online orders with their surrogate keys, line numbers and amounts.
 
-    No join carries a hint: lookups are broadcast by their measured size and
-    sort-merged beyond it, and adaptive execution splits hot products, orders
-    and territories.
+    The two folded lookups are stored first, so that the size of their files
+    decides: small ones are broadcast, large ones sort-merged, without a hint.
+    Adaptive execution splits hot products, orders and territories.
     """
+    versions = stored(product_versions(silver, gold), "product-versions")
+    territories = stored(territory_lookup(silver, gold), "territories")
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     online = silver["SalesOrderHeader"].filter(F.col("OnlineOrderFlag"))
     lines = silver["SalesOrderDetail"].alias("l").join(
@@ -86,7 +89,7 @@ def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> Dat
     )
     priced = join_valid_version(
         lines,
-        product_versions(silver, gold).alias("v"),
+        versions.alias("v"),
         F.col("l.ProductID") == F.col("v.ProductID"),
         F.col("h.OrderDate"),
         F.col("v.StartDate"),
@@ -98,7 +101,7 @@ def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> Dat
         F.col("l.SpecialOfferID") == F.col("pr.PromotionAlternateKey"),
         "left",
     ).join(
-        territory_lookup(silver, gold).alias("te"),
+        territories.alias("te"),
         F.col("h.TerritoryID") == F.col("te.TerritoryID"),
         "left",
     )

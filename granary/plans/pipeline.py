@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from functools import partial
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from granary.operators.checks import declare_checks
+from granary.operators.checks import FAILED, declare_checks, read_checks
 from granary.operators.fills import AsOf
+from granary.operators.history import overlapping_versions
 from granary.plans import dimensions, facts, silver
 from granary.registry import WAREHOUSE, SourceTable, active_sources, source
+from granary.session import scratch_scope, stored
 from granary.sources.landing import extract, read_landing, write_landing
-from granary.sources.tables import VersionedTable, create_layers
+from granary.sources.tables import RuleViolation, VersionedTable, create_layers
 
 
 def together(spark: SparkSession, jobs: Iterable[Callable[[], Any]], workers: int = 8) -> list[Any]:
@@ -31,9 +35,13 @@ def together(spark: SparkSession, jobs: Iterable[Callable[[], Any]], workers: in
 class Warehouse:
     """Where the layers live and how a run is parameterised.
 
-    ``as_of`` fixes the load time, which makes a run repeatable. ``wide_ids``
+    ``as_of`` fixes the load time, which makes a run repeatable; otherwise it is
+    the time the run was set up, the same for all its steps. ``wide_ids``
     stores key columns as BIGINT, for sources whose keys outgrow 32 bits.
-    ``prefix`` goes in front of the database names.
+    ``prefix`` goes in front of the database names. ``connection`` lands the
+    source tables over JDBC ahead of the layers. ``first_day`` and ``last_day``
+    bound the calendar. ``retain`` is how many versions of a table are left,
+    ``unique_bronze`` refuses a bronze reload with repeated keys.
     """
 
     spark: SparkSession
@@ -44,8 +52,15 @@ class Warehouse:
     wide_ids: bool = False
     one_contact: bool = False
     parallel_jobs: int = 8
+    connection: Mapping[str, str] | None = None
+    first_day: str = dimensions.FIRST_DAY
+    last_day: str = dimensions.LAST_DAY
+    retain: int | None = None
+    unique_bronze: bool = False
 
     def __post_init__(self) -> None:
+        if self.as_of is None:
+            self.as_of = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
         create_layers(self.spark, self.root, self.prefix)
 
     def bronze(self, table: SourceTable) -> VersionedTable:
@@ -63,7 +78,7 @@ class Warehouse:
 
     def _table(self, layer: str, folder: str, name: str) -> VersionedTable:
         path = f"{self.root.rstrip('/')}/{layer}/{folder}"
-        return VersionedTable(self.spark, path, f"{self.prefix}{layer}.{name}")
+        return VersionedTable(self.spark, path, f"{self.prefix}{layer}.{name}", self.retain)
 
     def silver_frames(self, names: Iterable[str]) -> dict[str, DataFrame]:
         """Silver tables by registry name."""
@@ -81,35 +96,50 @@ class Warehouse:
 
     def load_bronze(self, table: SourceTable) -> int:
         landed = read_landing(self.spark, self.landing, table, self.as_of)
-        return self.bronze(table).sync_evolving(landed, table.keys)
+        return self.bronze(table).sync_evolving(landed, table.keys, self.unique_bronze)
+
+    def rules(self, table: SourceTable) -> dict[str, str]:
+        """The checks that hold for a table: those stored with it, and those of the registry it lacks.
+
+        Registry checks are declared first where the table exists already.
+        """
+        name = self.silver(table).name
+        if not self.spark.catalog.tableExists(name):
+            return dict(table.checks)
+        declare_checks(self.spark, name, table.checks)
+        return read_checks(self.spark, name)
 
     def load_silver(self, table: SourceTable) -> int:
-        """Clean one table. Rejected rows are counted on the way, and the
-        quarantine pass runs only where there are any."""
-        held = Observation() if table.checks else None
-        cleaned = silver.clean(self.bronze(table).read(), table, self.as_of, self.wide_ids, held)
-        target = self.silver(table)
-        version = target.sync(
-            cleaned.accepted,
-            table.keys,
-            table.schema_for(self.wide_ids),
-            required=table.required,
-            keys_unique=True,
-            defaults=table.defaults,
-        )
-        if table.checks:
-            declare_checks(self.spark, target.name, table.checks)
-            self._keep_rejected(table, cleaned, held.get["rows"])
+        """Clean one table and part its rows.
+
+        Rows are deduplicated, filled and checked in one pass, written to
+        scratch, and split into the table and its quarantine from there.
+        """
+        rules, target, held = self.rules(table), self.silver(table), Observation()
+        with scratch_scope(self.spark):
+            checked = silver.check_rows(self.bronze(table).read(), table, self.as_of, rules)
+            if rules:
+                failing = F.count_if(F.size(FAILED) > 0).alias("rows")
+                checked = stored(checked.observe(held, failing), "checked")
+            cleaned = silver.split(checked, table, self.wide_ids)
+            version = target.sync(
+                cleaned.accepted,
+                table.keys,
+                table.schema_for(self.wide_ids),
+                required=table.required,
+                keys_unique=True,
+                defaults=table.defaults,
+            )
+            if rules:
+                declare_checks(self.spark, target.name, rules)
+                quarantine = self.quarantine(table)
+                if held.get["rows"] or quarantine.notes().get("rows") != 0:
+                    quarantine.publish(cleaned.quarantined)
         return version
 
-    def _keep_rejected(self, table: SourceTable, cleaned: silver.Cleaned, rejected: int) -> None:
-        target = self.quarantine(table)
-        if rejected:
-            target.publish(cleaned.quarantined)
-        elif target.notes().get("rows") != 0:
-            target.publish(cleaned.quarantined.limit(0))
-
-    def load_gold(self, name: str, rows: DataFrame) -> int:
+    def load_gold(
+        self, name: str, rows: DataFrame, audit: Callable[[DataFrame], DataFrame] | None = None
+    ) -> int:
         spec = WAREHOUSE[name]
         return self.gold(name).sync(
             rows,
@@ -119,31 +149,51 @@ class Warehouse:
             null_safe=spec.null_safe_keys,
             required=spec.required,
             keys_unique=spec.unique_by_build,
+            audit=audit,
         )
 
     def load_dimension(self, name: str) -> int:
-        if name == "DimDate":
-            return self.load_gold(name, dimensions.dim_date(self.spark))
-        frames = self.silver_frames(WAREHOUSE[name].sources)
-        if name == "DimCustomer":
-            return self.load_gold(name, dimensions.dim_customer(frames, self.one_contact))
-        return self.load_gold(name, dimensions.DIMENSIONS[name](frames))
+        with scratch_scope(self.spark):
+            if name == "DimDate":
+                return self.load_gold(name, dimensions.dim_date(self.spark, self.first_day, self.last_day))
+            frames = self.silver_frames(WAREHOUSE[name].sources)
+            if name == "DimCustomer":
+                self._refuse_contacts(frames)
+                return self.load_gold(name, dimensions.dim_customer(frames, self.one_contact))
+            audit = self._overlaps if name == "DimProduct" else None
+            return self.load_gold(name, dimensions.DIMENSIONS[name](frames), audit)
+
+    def _refuse_contacts(self, frames: Mapping[str, DataFrame]) -> None:
+        if not self.one_contact:
+            repeated = [tuple(r) for r in dimensions.repeated_contacts(frames).limit(5).collect()]
+            if repeated:
+                raise RuleViolation(f"DimCustomer: persons with several contacts: {repeated}")
+
+    def _overlaps(self, versions: DataFrame) -> DataFrame:
+        """Product versions that start before an earlier one ends; a fact line would meet both."""
+        dated = versions.filter(F.col("StartDate").isNotNull()).select("ProductAlternateKey", "StartDate", "EndDate")
+        today = F.lit(self.as_of).cast("timestamp")
+        return overlapping_versions(dated, ["ProductAlternateKey"], "StartDate", "StartDate", "EndDate", today)
 
     def load_sales(self) -> int:
         name = "FactInternetSales"
-        gold = {n: self.gold(n).read() for n in facts.LOOKUPS}
-        frames = self.silver_frames(WAREHOUSE[name].sources)
-        return self.load_gold(name, facts.fact_internet_sales(frames, gold, self.as_of))
+        with scratch_scope(self.spark):
+            gold = {n: self.gold(n).read() for n in facts.LOOKUPS}
+            frames = self.silver_frames(WAREHOUSE[name].sources)
+            return self.load_gold(name, facts.fact_internet_sales(frames, gold, self.as_of))
 
     def load_sales_reasons(self) -> int:
         name = "FactInternetSalesReason"
-        frames = self.silver_frames(WAREHOUSE[name].sources)
-        sales = self.gold("FactInternetSales").read()
-        return self.load_gold(name, facts.fact_internet_sales_reason(sales, frames))
+        with scratch_scope(self.spark):
+            frames = self.silver_frames(WAREHOUSE[name].sources)
+            sales = self.gold("FactInternetSales").read()
+            return self.load_gold(name, facts.fact_internet_sales_reason(sales, frames))
 
     def run(self) -> None:
         """Every active table, layer by layer; a failed layer stops the run."""
         tables = active_sources()
+        if self.connection:
+            self.land_all(self.connection)
         self._side_by_side(partial(self.load_bronze, t) for t in tables)
         self._side_by_side(partial(self.load_silver, t) for t in tables)
         active = [t.name for t in WAREHOUSE.values() if t.active]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators import checks, conform, dedup, fills
@@ -18,13 +18,7 @@ class Cleaned:
     """Result of a silver job before it is written."""
 
     accepted: DataFrame
-    filled: DataFrame
-    checks: Mapping[str, str]
-
-    @property
-    def quarantined(self) -> DataFrame:
-        """Rows that were not accepted, as they came, with the checks they fail."""
-        return checks.quarantine(self.filled, self.checks)
+    quarantined: DataFrame
 
 
 def latest_rows(bronze: DataFrame, table: SourceTable) -> DataFrame:
@@ -44,24 +38,24 @@ def fill_missing(rows: DataFrame, table: SourceTable, as_of: AsOf = None) -> Dat
     return fills.trim_columns(rows, table.trimmed)
 
 
-def clean(
-    bronze: DataFrame,
-    table: SourceTable,
-    as_of: AsOf = None,
-    wide_ids: bool = False,
-    held: Observation | None = None,
-) -> Cleaned:
-    """Latest row per key, filled, checked, cast and verified.
+def check_rows(
+    bronze: DataFrame, table: SourceTable, as_of: AsOf = None, rules: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Latest row per key, filled, with the names of the checks it fails.
 
-    Checks run after the fills and before the cast. Rows that are not accepted
-    go to quarantine with their values as they came and the failed checks;
-    ``held`` counts them while the accepted rows are written.
+    Checks run after the fills and before the cast. ``rules`` replaces the
+    registry's checks, for tables that have more of them stored.
     """
-    schema = table.schema_for(wide_ids)
     filled = fill_missing(latest_rows(bronze, table), table, as_of)
-    passing = filled
-    if held is not None:
-        failing = ~F.coalesce(checks.all_of(table.checks), F.lit(False))
-        passing = filled.observe(held, F.count_if(failing).alias("rows"))
-    accepted = conform.cast_to(checks.accept(passing, table.checks), schema)
-    return Cleaned(conform.verify_schema(accepted, schema), filled, table.checks)
+    return filled.withColumn(checks.FAILED, checks.failed_checks(table.checks if rules is None else rules))
+
+
+def split(checked: DataFrame, table: SourceTable, wide_ids: bool = False) -> Cleaned:
+    """Rows without a failed check, cast and verified, and the others as they came."""
+    schema, passes = table.schema_for(wide_ids), F.size(checks.FAILED) == 0
+    accepted = conform.cast_to(checked.filter(passes), schema)
+    return Cleaned(conform.verify_schema(accepted, schema), checked.filter(~passes))
+
+
+def clean(bronze: DataFrame, table: SourceTable, as_of: AsOf = None, wide_ids: bool = False) -> Cleaned:
+    return split(check_rows(bronze, table, as_of), table, wide_ids)

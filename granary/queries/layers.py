@@ -14,7 +14,7 @@ from granary.operators.identity import assign_identity
 from granary.operators.sync import to_sink
 from granary.plans import dimensions, facts, silver
 from granary.plans.pipeline import Warehouse, together
-from granary.plans.storefront import bronze_like, unique_rows
+from granary.queries.storefront import bronze_like, unique_rows
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.session import scratch_path
 from granary.sources.landing import write_landing
@@ -31,10 +31,11 @@ def silver_job(name: str, spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarantine_job(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    """Keys of the rows a silver job holds back, and the checks they fail."""
+    """The rows a silver job holds back, whole, and the checks they fail."""
     cleaned = silver.clean(bronze_like(spark, sf, name), SOURCES[name], AS_OF, wide_ids=True)
     failed = F.concat_ws(",", FAILED).alias("failed")
-    return cleaned.quarantined.select(*SOURCES[name].keys, failed)
+    kept = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in SOURCES[name].wide_struct]
+    return cleaned.quarantined.select(*kept, failed)
 
 
 def silver_frames(spark: SparkSession, sf: str, names: tuple[str, ...]) -> dict[str, DataFrame]:
@@ -59,11 +60,7 @@ def stored_lookup(name: str, spark: SparkSession, sf: str) -> DataFrame:
     can be broadcast.
     """
     spec, columns = WAREHOUSE[name], facts.LOOKUPS[name]
-    if name == "DimProduct":
-        frames = silver_frames(spark, sf, ("Product", "ProductCostHistory"))
-        rows = dimensions.product_version_keys(frames)
-    else:
-        rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
+    rows = dimensions.DIMENSIONS[name](silver_frames(spark, sf, spec.sources))
     schema = StructType(
         [f for f in spec.schema_for(wide_ids=True) if f.name in (spec.identity, *spec.keys, *columns)]
     )

@@ -8,11 +8,12 @@ from pyspark.sql.types import StructType
 
 from granary.functions.calendar import date_key
 from granary.functions.sales import MONEY, discount_amount, order_id, sales_amount
+from granary.functions.sales import account_number as sales_account
 from granary.operators import checks, conform, dedup, fills, history, shaping, sync
 from granary.operators.identity import assign_identity
 from granary.operators.ordered import number_rows
 from granary.plans.dimensions import describe_days
-from granary.plans.storefront import part_versions, table
+from granary.queries.storefront import part_versions, table
 from granary.registry import SourceTable
 from granary.session import scratch_path
 from granary.sources.landing import read_landing, write_landing
@@ -103,8 +104,7 @@ def fill_row_id_composite(spark: SparkSession, sf: str) -> DataFrame:
 
 def account_number(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").select("c_custkey", F.lit(None).cast("string").alias("acct"))
-    text = "concat('AW', right(concat('00000000', cast(c_custkey AS STRING)), 8))"
-    return fills.fill_derived(rows, {"acct": text})
+    return fills.fill_derived(rows, {"acct": (sales_account, "c_custkey")})
 
 
 def _lines_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,7 +314,7 @@ def dim_customer(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    account = F.expr("concat('AW', right(concat('00000000', cast(c_custkey AS STRING)), 8))")
+    account = sales_account(F.col("c_custkey"))
     return shaping.project(
         joined,
         {
@@ -334,7 +334,7 @@ def _sizes_by_source(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "documents"),
         ["source"],
         F.col("lang"),
-        {"en": "en", "fr": "fr", "de": "de"},
+        {"en": "en", "fr": "fr", "de": "de", "es": "es"},
         "n_chars",
         "doc_id",
     )
@@ -347,7 +347,7 @@ def pivot_first(spark: SparkSession, sf: str) -> DataFrame:
 def strip_names(spark: SparkSession, sf: str) -> DataFrame:
     """Padded pivot columns get clean names."""
     counts = table(spark, sf, "documents").groupBy("source").agg(
-        F.count_if(F.col("lang") == "en").alias("en    "), F.count_if(F.col("lang") == "fr").alias(" fr")
+        *[F.count_if(F.col("lang") == code.strip()).alias(code) for code in ("en    ", " fr", " de ", "es ")]
     )
     return conform.strip_column_names(counts)
 
@@ -383,6 +383,7 @@ def dim_product(spark: SparkSession, sf: str) -> DataFrame:
             "en": "d.en",
             "fr": "d.fr",
             "de": "d.de",
+            "es_chars": "d.es",
         },
     )
 
@@ -485,10 +486,9 @@ def fact_lookups(spark: SparkSession, sf: str) -> DataFrame:
         .join(currencies, "nk", "left")
         .select("n_nationkey", "terr", "rname", "curr")
     )
-    finished = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
     return (
         latest_lines(spark, sf)
-        .join(finished, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(promotions, F.col("l_discount") == F.col("d"), "left")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")

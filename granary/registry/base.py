@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Any
 
+from pyspark.sql import Column
 from pyspark.sql.types import StructType
 
 AUDIT_COLUMNS = ("_process_timestamp", "_input_file_name")
@@ -32,7 +33,7 @@ class SourceTable:
     modified: str | None = "NOT NULL"
     constants: Mapping[str, Any] = field(default_factory=dict)
     stamps: tuple[str, ...] = ()
-    derived: Mapping[str, str] = field(default_factory=dict)
+    derived: Mapping[str, tuple[Callable[[Column], Column], str]] = field(default_factory=dict)
     guarded: Mapping[str, str] = field(default_factory=dict)
     trimmed: tuple[str, ...] = ()
     checks: Mapping[str, str] = field(default_factory=dict)

@@ -4,6 +4,7 @@ Fixed values: names, types, keys, defaults and check texts are the data
 contract of the source system.
 """
 
+from granary.functions.sales import account_number
 from granary.registry.base import SourceTable
 
 SALES_TABLES = (
@@ -93,7 +94,7 @@ SALES_TABLES = (
             AccountNumber STRING
         """,
         row_id="NOT NULL",
-        derived={"AccountNumber": "concat('AW', right(concat('00000000', cast(CustomerID AS STRING)), 8))"},
+        derived={"AccountNumber": (account_number, "CustomerID")},
         checks={"CK_Customer_PersonID": "PersonID IS NOT NULL"},
     ),
     SourceTable(

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from granary.sources import files
+
+_held: ContextVar[list[str] | None] = ContextVar("scratch paths of a load", default=None)
 
 # Runtime settings the jobs count on. All can be changed on a live session.
 RUNTIME_SETTINGS = {
@@ -59,22 +65,42 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, reachable by all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. A session without that
+    setting uses a folder in its warehouse, which executors share as well.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return configured.rstrip("/")
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="granary-"))
-    return context.getCheckpointDir().rstrip("/")
+        context.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/granary/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/granary/{label}-{uuid.uuid4().hex}"
+    held = _held.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch paths made inside, once their last reader is done."""
+    held: list[str] = []
+    token = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        for path in held:
+            files.delete(spark, path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back, so that its files' size decides on joins."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

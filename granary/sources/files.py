@@ -37,3 +37,9 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a path with all below it; nothing happens if it is not there."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)

@@ -11,7 +11,7 @@ table is assumed.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from granary.operators.checks import declare_checks, read_checks
 from granary.operators.identity import assign_identity
 from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
 from granary.sources import files
@@ -35,10 +36,15 @@ class RuleViolation(Exception):
 
 
 class VersionedTable:
-    """One table at ``path``; ``name`` is its catalog name, ``database.table``."""
+    """One table at ``path``; ``name`` is its catalog name, ``database.table``.
 
-    def __init__(self, spark: SparkSession, path: str, name: str | None = None) -> None:
-        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+    ``retain`` is how many versions a load leaves, the new one included; all by default.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, name: str | None = None, retain: int | None = None
+    ) -> None:
+        self.spark, self.path, self.name, self.retain = spark, path.rstrip("/"), name, retain
 
     def versions(self) -> list[int]:
         names = files.child_names(self.spark, self.path)
@@ -81,12 +87,15 @@ class VersionedTable:
         declared: StructType | None = None,
         null_safe: bool = False,
         keys: Sequence[str] = (),
+        audit: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """Write ``rows`` as the next version, audit it and make it current.
 
         ``declared`` is the schema with its NOT NULL marks for the catalog,
         where it says more than that of ``rows``.
 
+        ``audit`` returns rows that must not be there, from the written ones.
+
         Missing required values are counted while the rows are written. Key
         uniqueness is checked on the key columns of the written files, so the
         plan behind ``rows`` runs once only.
@@ -114,22 +123,34 @@ class VersionedTable:
             if doubled:
                 keys = [tuple(r)[:-1] for r in doubled]
                 raise RuleViolation(f"{self.name or self.path}: keys {tuple(unique)} repeat: {keys}")
+        if audit:
+            wrong = [tuple(r) for r in audit(written).limit(5).collect()]
+            if wrong:
+                raise RuleViolation(f"{self.name or self.path}: rows that the audit refuses: {wrong}")
         schema = declared or rows.schema
         record = {"rows": counts["rows"], "schema": schema.jsonValue(), **(notes or {})}
         files.write_text(self.spark, f"{self.location(number)}/{MARKER}", json.dumps(record))
         self.register(schema, number, defaults)
+        self.forget_versions()
         return number
 
+    def forget_versions(self) -> None:
+        """Remove what is older than the last ``retain`` versions."""
+        if self.retain:
+            for number in self.versions()[: -self.retain]:
+                files.delete(self.spark, self.location(number))
+
     def register(
         self, schema: StructType, version: int, defaults: Mapping[str, str] | None = None
     ) -> None:
         """Point the catalog table at a version, creating the entry on first use."""
         if self.name is None:
             return
-        location = self.location(version)
+        location, kept = self.location(version), {}
         known = self.spark.catalog.tableExists(self.name)
         if known and not same_columns(self.spark.table(self.name).schema, schema):
-            # Only the catalog entry goes: the table is external.
+            # Only the catalog entry goes: the table is external. Its checks come back below.
+            kept = read_checks(self.spark, self.name)
             self.spark.sql(f"DROP TABLE {self.name}")
             known = False
         if not known:
@@ -137,6 +158,7 @@ class VersionedTable:
                 f"CREATE TABLE {self.name} ({table_ddl(schema, defaults or {})}) "
                 f"USING parquet LOCATION '{location}'"
             )
+            declare_checks(self.spark, self.name, kept)
         else:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{location}'")
             self.spark.sql(f"REFRESH TABLE {self.name}")
@@ -151,6 +173,7 @@ class VersionedTable:
         required: Sequence[str] = (),
         keys_unique: bool = False,
         defaults: Mapping[str, str] | None = None,
+        audit: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """Full-sync merge of ``source`` into the table; see :mod:`granary.operators.sync`.
 
@@ -166,16 +189,17 @@ class VersionedTable:
             )
             rows, notes = rows.select(*schema.names), {"highest": highest}
         unique = () if keys_unique else keys
-        return self.publish(rows, required, unique, notes, defaults, schema, null_safe, keys)
+        return self.publish(rows, required, unique, notes, defaults, schema, null_safe, keys, audit)
 
-    def sync_evolving(self, source: DataFrame, keys: Sequence[str]) -> int:
+    def sync_evolving(self, source: DataFrame, keys: Sequence[str], unique: bool = False) -> int:
         """Full-sync merge that accepts new columns; columns that went missing become NULL.
 
-        The first load takes the rows as they are, repeated keys included.
+        Rows are taken as they are, repeated keys included, for silver resolves
+        them. With ``unique`` a reload with a repeated key raises instead.
         """
         if not self.exists():
             return self.publish(source)
-        return self.publish(align_columns(source, self.read().schema), unique=keys)
+        return self.publish(align_columns(source, self.read().schema), unique=keys if unique else ())
 
     def highest(self, identity: str, old: DataFrame | None) -> int:
         """Highest identity ever given out, so that a deleted row's key is not used again."""

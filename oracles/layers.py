@@ -7,7 +7,7 @@ written out here on their own.
 
 import re
 
-from granary.plans.storefront import FEED_SQL
+from granary.queries.storefront import FEED_SQL
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.registry.base import widen_ids
 
@@ -127,9 +127,10 @@ def quarantine(name: str) -> str:
         f"CASE WHEN coalesce({sql}, false) THEN NULL ELSE '{check}' END"
         for check, sql in spec.checks.items()
     )
-    keys = ", ".join(spec.keys)
+    types = {"STRING": "VARCHAR"}
+    casts = ", ".join(f'cast("{c}" AS {types.get(t, t)}) AS "{c}"' for c, t in columns_of(spec.ddl))
     return (
-        f"SELECT {keys}, concat_ws(',', {failed}) AS failed FROM ({filled(name)}) f "
+        f"SELECT {casts}, concat_ws(',', {failed}) AS failed FROM ({filled(name)}) f "
         f"WHERE coalesce({passes}, false) = false"
     )
 

@@ -44,7 +44,8 @@ LEFT JOIN {PV} v ON l.l_partkey = v.pid AND {VALID}"""
 SIZES = """SELECT source,
   min_by(n_chars, doc_id) FILTER (WHERE lang = 'en') en,
   min_by(n_chars, doc_id) FILTER (WHERE lang = 'fr') fr,
-  min_by(n_chars, doc_id) FILTER (WHERE lang = 'de') de
+  min_by(n_chars, doc_id) FILTER (WHERE lang = 'de') de,
+  min_by(n_chars, doc_id) FILTER (WHERE lang = 'es') es
 FROM documents GROUP BY source"""
 
 # Spanish and French names, Monday first and January first.
@@ -193,7 +194,8 @@ OPERATOR_ORACLES = {
           ON c_custkey = o.o_custkey""",
     "pivot_first": SIZES,
     "strip_names": """
-        SELECT source, count(CASE WHEN lang = 'en' THEN 1 END) en, count(CASE WHEN lang = 'fr' THEN 1 END) fr
+        SELECT source, count(CASE WHEN lang = 'en' THEN 1 END) en, count(CASE WHEN lang = 'fr' THEN 1 END) fr,
+          count(CASE WHEN lang = 'de' THEN 1 END) de, count(CASE WHEN lang = 'es' THEN 1 END) es
         FROM documents GROUP BY source""",
     "history_join": f"""
         SELECT a.pid, a.sd, a.ed, a.cost, b.cost lp
@@ -201,7 +203,7 @@ OPERATOR_ORACLES = {
           ON a.pid = b.pid AND a.sd = b.sd AND (a.ed = b.ed OR (a.ed IS NULL AND b.ed IS NULL))""",
     "dim_product": f"""
         SELECT concat('PN-', cast(p.p_partkey AS varchar)) pn, p.p_name, v.cost, v.sd, v.ed,
-          CASE WHEN v.ed IS NULL THEN 'Current' END st, d.en, d.fr, d.de
+          CASE WHEN v.ed IS NULL THEN 'Current' END st, d.en, d.fr, d.de, d.es es_chars
         FROM part p LEFT JOIN {PV} v ON p.p_partkey = v.pid
         LEFT JOIN ({SIZES}) d ON p.p_size = cast(substring(d.source, 4) AS int)""",
     "scd_range_join": f"""
@@ -218,7 +220,7 @@ OPERATOR_ORACLES = {
     "fact_sales": FACT,
     "fact_lookups": f"""
         SELECT l.l_orderkey, l.l_linenumber, p.p_partkey, pr.k promo, te.tk terr, te.rn rname, cu.k curr
-        FROM {LI} l JOIN orders o ON l.l_orderkey = o.o_orderkey AND o.o_orderstatus = 'F'
+        FROM {LI} l JOIN orders o ON l.l_orderkey = o.o_orderkey
         LEFT JOIN part p ON l.l_partkey = p.p_partkey
         LEFT JOIN (SELECT l_discount d, row_number() OVER (ORDER BY l_discount) k
           FROM (SELECT DISTINCT l_discount FROM lineitem) z) pr ON l.l_discount = pr.d

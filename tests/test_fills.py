@@ -2,6 +2,7 @@ import datetime as dt
 import uuid
 from decimal import Decimal
 
+from granary.functions.sales import account_number
 from granary.operators import fills
 
 
@@ -32,8 +33,7 @@ def test_row_ids_are_stable_distinct_and_kept(frame):
 
 def test_derived_value_fills_gaps_only(frame, rows):
     df = frame([(7, None), (123456789, None), (3, "AC3")], "CustomerID int, AccountNumber string")
-    text = "concat('AW', right(concat('00000000', cast(CustomerID AS STRING)), 8))"
-    filled = fills.fill_derived(df, {"AccountNumber": text})
+    filled = fills.fill_derived(df, {"AccountNumber": (account_number, "CustomerID")})
     assert rows(filled) == [(123456789, "AW23456789"), (3, "AC3"), (7, "AW00000007")]
 
 
@@ -49,3 +49,9 @@ def test_guard_zeroes_incomplete_totals_and_recomputes_nothing(frame, rows):
 
 def test_trim(frame, rows):
     assert rows(fills.trim_columns(frame([(" r ",), (None,)], "c string"), ["c"])) == [("r",), (None,)]
+
+
+def test_different_keys_never_share_a_row_id(frame):
+    parts = [None, "", "|", "-", "1:", "a|", "|a", "1:a"]
+    df = frame([(a, b, None) for a in parts for b in parts], "a string, b string, rowguid string")
+    assert fills.fill_row_id(df, "t", ["a", "b"]).select("rowguid").distinct().count() == len(parts) ** 2

@@ -83,12 +83,6 @@ def test_product_versions(silver, rows):
     ]
 
 
-def test_version_keys_agree_with_the_dimension(silver, rows):
-    frames = silver(**PRODUCTS)
-    keys = dimensions.product_version_keys(frames)
-    assert rows(keys) == rows(dimensions.dim_product(frames).select(*keys.columns))
-
-
 def test_dimensions_have_the_columns_of_their_tables(silver):
     names = {n for spec in WAREHOUSE.values() for n in spec.sources}
     frames = silver(**{n: [] for n in names})

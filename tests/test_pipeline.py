@@ -4,7 +4,7 @@ import pytest
 
 from granary.operators.checks import read_checks
 from granary.plans.pipeline import Warehouse
-from granary.plans.storefront import unique_rows
+from granary.queries.storefront import unique_rows
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.sources.landing import extract_query, jdbc_options, read_landing, write_landing
 from granary.sources.tables import RuleViolation, table_ddl

@@ -28,7 +28,8 @@ def test_scans_read_only_what_they_need(spark, small):
 
 
 def test_filters_reach_the_scan(spark, small):
-    plan = plan_of(operators.fact_sales(spark, small))
+    finished = operators.table(spark, small, "orders").filter(F.col("o_orderstatus") == "F")
+    plan = plan_of(operators._lines_with_version(spark, small, finished))
     assert "EqualTo(o_orderstatus,F)" in plan
 
 
@@ -90,3 +91,36 @@ def test_scratch_folder_comes_from_the_session(spark):
     if configured:
         assert scratch_root(spark) == configured.rstrip("/")
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_stored_lookups_decide_how_the_lines_join(spark, small, no_broadcast):
+    """Below the threshold the lines are not shuffled on product or territory, above it they are."""
+    from granary.plans import facts
+    from granary.queries import layers
+
+    gold = {n: layers.stored_lookup(n, spark, small) for n in facts.LOOKUPS}
+    frames = layers.silver_frames(spark, small, facts.WAREHOUSE["FactInternetSales"].sources)
+    placed = []
+    real = facts.number_lines
+    facts.number_lines = lambda df, *a: placed.append(df) or real(df, *a)
+    try:
+        for threshold, merges in (("10m", False), ("-1", True)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            facts.fact_internet_sales(frames, gold, layers.AS_OF)
+            plan = plan_of(placed[-1])
+            for key in ("ProductID", "TerritoryID"):
+                assert (f"SortMergeJoin [{key}" in plan or f", {key}" in plan and "SortMergeJoin" in plan) == merges
+                assert ("hashpartitioning(ProductID" in plan) == merges
+    finally:
+        facts.number_lines = real
+
+
+def test_silver_with_rejects_scans_once(spark, small):
+    from granary.plans import silver
+    from granary.queries import storefront
+    from granary.registry import source
+
+    table = source("SalesOrderHeader")
+    checked = silver.check_rows(storefront.bronze_like(spark, small, table.full_name), table, "2002-01-01")
+    plan = plan_of(checked)
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1

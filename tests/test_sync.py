@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -88,7 +89,11 @@ def test_new_and_missing_columns(table, frame, rows):
     table.sync_evolving(frame([(1, 7)], "k int, n int"), ["k"])
     assert table.read().columns == ["k", "v", "n"] and rows(table.read()) == [(1, None, 7)]
     with pytest.raises(RuleViolation):
-        table.sync_evolving(frame([(1, 7), (1, 8)], "k int, n int"), ["k"])
+        table.sync_evolving(frame([(1, 7), (1, 8)], "k int, n int"), ["k"], unique=True)
+    table.sync_evolving(frame([(1, 7), (1, 8)], "k bigint, n int"), ["k"])
+    assert rows(table.read()) == [(1, None, 7), (1, None, 8)] and dict(table.read().dtypes)["k"] == "int"
+    with pytest.raises(PySparkException):
+        table.sync_evolving(frame([(1 << 40, 7)], "k bigint, n int"), ["k"])
     known = StructType.fromDDL("k INT, gone TINYINT")
     assert align_columns(frame([(1, 2)], "n int, k int"), known).dtypes == [
         ("k", "int"), ("gone", "tinyint"), ("n", "int"),
