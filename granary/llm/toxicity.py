@@ -123,7 +123,15 @@ def look_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray, otherwise:
     return np.where(known[at] == keys, values[at], otherwise)
 
 
-def gram_counts(sample: DataFrame) -> pd.DataFrame:
+@dataclass
+class Grams:
+    """Different grams as rows of code points, and their counts per class and half."""
+
+    codes: np.ndarray
+    n: np.ndarray
+
+
+def gram_counts(sample: DataFrame) -> Grams:
     """Counts of letter grams per class and half, counted in Spark; bounded as the sample is."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,63 +156,64 @@ def gram_counts(sample: DataFrame) -> pd.DataFrame:
 
     counted = sample.mapInArrow(count, "gram string, part int, n bigint")
     parts = [F.sum(F.when(F.col("part") == p, F.col("n")).otherwise(0)).alias(f"n{p}") for p in range(4)]
-    return counted.groupBy("gram").agg(*parts).toPandas()
+    found = counted.groupBy("gram").agg(*parts).toArrow()
+    letters = [codes_of(b"".join(c.cast(pa.binary()).to_pylist()).decode()) for c in found["gram"].chunks]
+    codes = np.concatenate([*letters, np.zeros(0, dtype=np.uint64)]).astype(np.uint32).reshape(-1, ORDER)
+    return Grams(codes, np.array([found[f"n{p}"].to_numpy() for p in range(4)]))
+
 
+def shared_model(codes: np.ndarray) -> np.ndarray:
+    """Interpolated Kneser-Ney probability of each gram's last letter after all but the first.
 
-def shared_model(grams: pd.Series) -> np.ndarray:
-    """Interpolated Kneser-Ney probability of each gram's last letter after all but the first."""
-    levels, current = [], grams
+    Level by level, a shorter gram counts in how many different longer ones it occurs.
+    """
+    levels, current = [], codes
     for _ in range(ORDER - 1):
-        counts = current.str[1:].value_counts()  # in how many longer grams each occurs
-        levels.append(counts)
-        current = pd.Series(counts.index)
-    below: pd.Series | None = None
-    for counts in reversed(levels):
-        frame = pd.DataFrame({"gram": counts.index, "n": counts.to_numpy()})
-        context = frame["gram"].str[:-1]
-        total = frame.groupby(context)["n"].transform("sum")
-        kinds = frame.groupby(context)["n"].transform("size")
-        lower = 1 / ALPHABET if below is None else frame["gram"].str[1:].map(below).to_numpy()
-        p = (frame["n"] - SHARED_DISCOUNT) / total + SHARED_DISCOUNT * kinds / total * lower
-        below = pd.Series(p.to_numpy(), index=frame["gram"])
-    return grams.str[1:].map(below).to_numpy()
-
-
-def fit(counts: pd.DataFrame, parts: tuple[int, ...]) -> Evidence:
+        shorter = current[:, 1:]
+        _, first, back, n = np.unique(
+            hash_rows(shorter), return_index=True, return_inverse=True, return_counts=True
+        )
+        current = shorter[first]
+        levels.append((current, n, back))
+    lower = np.array([1 / ALPHABET])
+    above = np.zeros(len(levels[-1][1]), dtype=np.int64)
+    for grams, n, back in reversed(levels):
+        _, context = np.unique(hash_rows(grams[:, :-1]), return_inverse=True)
+        total, kinds = np.bincount(context, n)[context], np.bincount(context)[context]
+        lower = (n - SHARED_DISCOUNT) / total + SHARED_DISCOUNT * kinds / total * lower[above]
+        above = back
+    return lower[above]
+
+
+def fit(counts: Grams, parts: tuple[int, ...]) -> Evidence:
     """Evidence of each gram from the counts of the given parts (2 x class + half)."""
-    table = pd.DataFrame({"gram": counts["gram"]})
-    for y in (0, 1):
-        table[y] = sum((counts[f"n{p}"] for p in parts if p // 2 == y), start=pd.Series(0, index=counts.index))
-    table = table[(table[0] > 0) | (table[1] > 0)].reset_index(drop=True)
-    if table.empty:
+    n = np.array([counts.n[[p for p in parts if p // 2 == y]].sum(axis=0) for y in (0, 1)])
+    known = n.sum(axis=0) > 0
+    codes, n = counts.codes[known], n[:, known]
+    if not len(codes):
         nothing = np.zeros(0)
         return Evidence(nothing.astype(np.uint64), nothing, nothing.astype(np.uint64), nothing)
-    context = table["gram"].str[:-1]
-    shared, logs, rest = shared_model(table["gram"]), [], []
-    for y in (0, 1):
-        n = table[y].to_numpy()
-        discount = DISCOUNTS[np.minimum(n, 3)]
-        total = table[y].groupby(context).transform("sum").to_numpy()
-        held = pd.Series(discount).groupby(context.to_numpy()).transform("sum").to_numpy()
+    shared = shared_model(codes)
+    contexts, first, context = np.unique(hash_rows(codes[:, :-1]), return_index=True, return_inverse=True)
+    logs, rest = [], []
+    for own in n:
+        discount = DISCOUNTS[np.minimum(own, 3)]
+        total, held = np.bincount(context, own)[context], np.bincount(context, discount)[context]
         with np.errstate(divide="ignore", invalid="ignore"):
             backoff = np.where(total > 0, held / total, 1.0)
-            own = np.where(total > 0, (n - discount) / total, 0.0)
-        logs.append(np.log(own + backoff * shared))
+            seen = np.where(total > 0, (own - discount) / total, 0.0)
+        logs.append(np.log(seen + backoff * shared))
         rest.append(np.log(backoff))
-    values, other = logs[1] - logs[0], rest[1] - rest[0]
-    joined = codes_of("".join(table["gram"])).reshape(-1, ORDER)
-    gram_hash = hash_rows(joined)
-    context_hash, first = np.unique(hash_rows(joined[:, :-1]), return_index=True)
-    order = np.argsort(gram_hash)
-    return Evidence(
-        gram_hash[order], values[order].astype(np.float32), context_hash, other[first].astype(np.float32)
-    )
+    grams = hash_rows(codes)
+    order = np.argsort(grams)
+    values, other = (logs[1] - logs[0]).astype(np.float32), (rest[1] - rest[0]).astype(np.float32)
+    return Evidence(grams[order], values[order], contexts, other[first])
 
 
 def hash_rows(codes: np.ndarray) -> np.ndarray:
     total = np.zeros(len(codes), dtype=np.uint64)
     for column in codes.T:
-        total = total * STEP + column
+        total = total * STEP + column.astype(np.uint64)
     return total
 
 
@@ -212,7 +221,7 @@ def train(sample: DataFrame) -> Evidence:
     """Fit both classes' models and the calibration on a sample with ``y``, ``half`` and ``text``."""
     sample = sample.select("y", "half", "text")
     counts = gram_counts(sample)
-    if not len(counts) or not all(counts[[f"n{2 * y}", f"n{2 * y + 1}"]].to_numpy().sum() for y in (0, 1)):
+    if not all(counts.n[2 * y : 2 * y + 2].sum() for y in (0, 1)):
         return fit(counts, ())
     halves = [fit(counts, (half, 2 + half)) for half in (0, 1)]
     crossed = features_of(sample, halves)
