@@ -20,7 +20,7 @@ from granary.functions.sales import MONEY
 from granary.operators.dedup import keep_latest
 from granary.registry import SOURCES
 
-LOADED = "2001-01-01 00:00:00"
+LOADED, LONG_AGO = "2001-01-01 00:00:00", "1994-01-01 00:00:00"
 
 # Product versions: valid from, valid to, share of the retail price.
 VERSIONS = (
@@ -41,7 +41,8 @@ FEED_SQL = {
                WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 450000
                  THEN cast(o_orderdate - interval '1' day AS timestamp)
                ELSE cast(o_orderdate + interval '7' day AS timestamp) END AS ShipDate,
-          CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 1 ELSE NULL END AS Status,
+          CASE WHEN o_orderkey % 97 = 3 THEN 9 WHEN o_orderstatus = 'F' THEN 5
+               WHEN o_orderstatus = 'O' THEN 1 ELSE NULL END AS Status,
           CASE o_orderstatus WHEN 'F' THEN true WHEN 'P' THEN false ELSE NULL END AS OnlineOrderFlag,
           concat('SO', cast(o_orderkey AS varchar(30))) AS SalesOrderNumber,
           concat('PO', cast(o_custkey AS varchar(30))) AS PurchaseOrderNumber,
@@ -51,8 +52,10 @@ FEED_SQL = {
           o_custkey AS BillToAddressID, o_custkey AS ShipToAddressID, 5 AS ShipMethodID,
           cast(NULL AS int) AS CreditCardID, cast(NULL AS varchar(30)) AS CreditCardApprovalCode,
           cast(NULL AS int) AS CurrencyRateID,
-          cast(o_totalprice AS decimal(19,4)) AS SubTotal,
-          CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE cast(8.25 AS decimal(19,4)) END AS TaxAmt,
+          CASE WHEN o_orderkey % 97 = 5 THEN cast(-1 AS decimal(19,4))
+               ELSE cast(o_totalprice AS decimal(19,4)) END AS SubTotal,
+          CASE WHEN o_orderkey % 97 = 7 THEN cast(-1 AS decimal(19,4))
+               WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE cast(8.25 AS decimal(19,4)) END AS TaxAmt,
           CASE WHEN o_orderpriority = '3-MEDIUM' AND o_totalprice > 400000
                THEN cast(-1 AS decimal(19,4)) ELSE cast(25 AS decimal(19,4)) END AS Freight,
           cast(o_totalprice AS decimal(19,4)) AS TotalDue,
@@ -68,7 +71,8 @@ FEED_SQL = {
           l_partkey AS ProductID,
           cast(round(l_discount * 100) AS int) AS SpecialOfferID,
           CASE WHEN l_tax > 0.075 THEN NULL ELSE cast(l_extendedprice AS decimal(19,4)) END AS UnitPrice,
-          CASE WHEN l_discount = 0 THEN NULL ELSE cast(l_discount AS decimal(19,4)) END
+          CASE WHEN l_orderkey % 97 = 11 THEN cast(-0.01 AS decimal(19,4))
+               WHEN l_discount = 0 THEN NULL ELSE cast(l_discount AS decimal(19,4)) END
             AS UnitPriceDiscount,
           cast(l_extendedprice AS decimal(19,4)) AS LineTotal,
           CASE WHEN l_linenumber = 7 THEN NULL
@@ -86,14 +90,15 @@ FEED_SQL = {
     "Sales_SpecialOffer": """
         SELECT cast(round(l_discount * 100) AS int) AS SpecialOfferID,
           concat('Discount ', cast(cast(round(l_discount * 100) AS int) AS varchar(30))) AS Description,
-          CASE WHEN l_discount = 0 THEN NULL ELSE cast(l_discount AS decimal(10,4)) END AS DiscountPct,
+          CASE WHEN l_discount = 0 THEN NULL WHEN round(l_discount * 100) = 9 THEN cast(-0.09 AS decimal(10,4))
+               ELSE cast(l_discount AS decimal(10,4)) END AS DiscountPct,
           CASE WHEN l_discount > 0.05 THEN 'Volume' ELSE 'Seasonal' END AS Type,
           'Reseller' AS Category,
           timestamp '1995-01-01 00:00:00' AS StartDate,
           CASE WHEN l_discount > 0.095 THEN timestamp '1994-01-01 00:00:00'
                ELSE timestamp '2001-12-31 00:00:00' END AS EndDate,
-          CASE WHEN l_discount > 0.05 THEN 10 ELSE NULL END AS MinQty,
-          cast(NULL AS int) AS MaxQty,
+          CASE WHEN round(l_discount * 100) = 7 THEN -1 WHEN l_discount > 0.05 THEN 10 ELSE NULL END AS MinQty,
+          CASE WHEN round(l_discount * 100) = 8 THEN -1 ELSE NULL END AS MaxQty,
           cast(NULL AS varchar(30)) AS rowguid, timestamp '2001-01-01 00:00:00' AS ModifiedDate
         FROM (SELECT DISTINCT l_discount FROM {lineitem}) offers""",
     "Sales_Currency": """
@@ -104,8 +109,9 @@ FEED_SQL = {
         SELECT n_nationkey AS TerritoryID, n_name AS Name,
           substring(r_name, 1, 2) AS CountryRegionCode, r_name AS "Group",
           cast(n_nationkey - 1 AS decimal(19,4)) AS SalesYTD,
-          cast(NULL AS decimal(19,4)) AS SalesLastYear,
-          cast(NULL AS decimal(19,4)) AS CostYTD, cast(0 AS decimal(19,4)) AS CostLastYear,
+          CASE WHEN n_nationkey = 24 THEN cast(-1 AS decimal(19,4)) ELSE NULL END AS SalesLastYear,
+          CASE WHEN n_nationkey = 23 THEN cast(-1 AS decimal(19,4)) ELSE NULL END AS CostYTD,
+          cast(CASE WHEN n_nationkey = 22 THEN -1 ELSE 0 END AS decimal(19,4)) AS CostLastYear,
           cast(NULL AS varchar(30)) AS rowguid, timestamp '2001-01-01 00:00:00' AS ModifiedDate
         FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "Sales_SalesReason": """
@@ -115,16 +121,20 @@ FEED_SQL = {
           timestamp '2001-01-01 00:00:00' AS ModifiedDate
         FROM (SELECT DISTINCT o_orderpriority FROM {orders}) reasons""",
     "Sales_vPersonDemographics": """
-        SELECT c_custkey AS BusinessEntityID,
-          cast(c_acctbal AS decimal(19,4)) AS TotalPurchaseYTD,
-          timestamp '1999-06-01 00:00:00' AS DateFirstPurchase,
+        SELECT CASE WHEN c_custkey % 31 = 1 THEN NULL ELSE c_custkey END AS BusinessEntityID,
+          CASE WHEN c_custkey % 31 = 2 THEN NULL ELSE cast(c_acctbal AS decimal(19,4)) END AS TotalPurchaseYTD,
+          CASE WHEN c_custkey % 31 = 3 THEN NULL ELSE timestamp '1999-06-01 00:00:00' END AS DateFirstPurchase,
           CASE WHEN c_acctbal < 0 THEN NULL ELSE timestamp '1970-02-03 00:00:00' END AS BirthDate,
-          CASE WHEN c_nationkey < 12 THEN 'M' ELSE 'S' END AS MaritalStatus,
-          CASE WHEN c_acctbal > 5000 THEN 'greater than 100000' ELSE '0-25000' END AS YearlyIncome,
-          CASE WHEN c_nationkey < 10 THEN 'F' ELSE 'M' END AS Gender,
-          c_nationkey AS TotalChildren, 0 AS NumberChildrenAtHome,
-          'Bachelors' AS Education, lower(c_mktsegment) AS Occupation,
-          c_acctbal > 2500 AS HomeOwnerFlag, 2 AS NumberCarsOwned
+          CASE WHEN c_custkey % 31 = 4 THEN NULL WHEN c_nationkey < 12 THEN 'M' ELSE 'S' END AS MaritalStatus,
+          CASE WHEN c_custkey % 31 = 5 THEN NULL WHEN c_acctbal > 5000 THEN 'greater than 100000'
+               ELSE '0-25000' END AS YearlyIncome,
+          CASE WHEN c_custkey % 31 = 6 THEN NULL WHEN c_nationkey < 10 THEN 'F' ELSE 'M' END AS Gender,
+          CASE WHEN c_custkey % 31 = 7 THEN NULL ELSE c_nationkey END AS TotalChildren,
+          CASE WHEN c_custkey % 31 = 8 THEN NULL ELSE 0 END AS NumberChildrenAtHome,
+          CASE WHEN c_custkey % 31 = 9 THEN NULL ELSE 'Bachelors' END AS Education,
+          CASE WHEN c_custkey % 31 = 10 THEN NULL ELSE lower(c_mktsegment) END AS Occupation,
+          CASE WHEN c_custkey % 31 = 11 THEN NULL ELSE c_acctbal > 2500 END AS HomeOwnerFlag,
+          CASE WHEN c_custkey % 31 = 12 THEN NULL ELSE 2 END AS NumberCarsOwned
         FROM {customer}""",
     "Sales_CountryRegionCurrency": """
         SELECT substring(r_name, 1, 2) AS CountryRegionCode, substring(r_name, 1, 3) AS CurrencyCode,
@@ -189,19 +199,24 @@ FEED_SQL = {
           concat('PN-', cast(p_partkey AS varchar(30))) AS ProductNumber,
           cast(NULL AS boolean) AS MakeFlag,
           CASE WHEN p_type = 'PROMO' THEN false ELSE NULL END AS FinishedGoodsFlag,
-          substring(p_name, 1, 3) AS Color, p_size AS SafetyStockLevel, p_size - 1 AS ReorderPoint,
-          cast(p_retailprice AS decimal(19,4)) AS StandardCost,
-          cast(p_retailprice AS decimal(19,4)) AS ListPrice,
+          substring(p_name, 1, 3) AS Color,
+          CASE WHEN p_partkey % 37 = 3 THEN 0 ELSE p_size END AS SafetyStockLevel, p_size - 1 AS ReorderPoint,
+          CASE WHEN p_partkey % 37 = 4 THEN cast(-1 AS decimal(19,4))
+               ELSE cast(p_retailprice AS decimal(19,4)) END AS StandardCost,
+          CASE WHEN p_partkey % 37 = 2 THEN cast(-1 AS decimal(19,4))
+               ELSE cast(p_retailprice AS decimal(19,4)) END AS ListPrice,
           cast(p_size AS varchar(30)) AS Size, 'CM' AS SizeUnitMeasureCode,
           cast(NULL AS varchar(30)) AS WeightUnitMeasureCode,
-          cast(p_size AS decimal(8,2)) AS Weight, 1 AS DaysToManufacture,
-          CASE WHEN p_type = 'LARGE' THEN NULL ELSE ' r ' END AS ProductLine,
+          cast(CASE WHEN p_partkey % 37 = 5 THEN -1 ELSE p_size END AS decimal(8,2)) AS Weight,
+          CASE WHEN p_partkey % 37 = 1 THEN -1 ELSE 1 END AS DaysToManufacture,
+          CASE WHEN p_partkey % 37 = 6 THEN 'Z' WHEN p_type = 'LARGE' THEN NULL ELSE ' r ' END AS ProductLine,
           CASE WHEN p_brand = 'Brand#13' THEN 'X ' ELSE 'h ' END AS Class,
-          ' U' AS Style,
+          CASE WHEN p_partkey % 37 = 8 THEN 'Q' ELSE ' U' END AS Style,
           cast(substring(p_brand, 7) AS int) AS ProductSubcategoryID,
           CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_size END AS ProductModelID,
           timestamp '1995-01-01 00:00:00' AS SellStartDate,
-          cast(NULL AS timestamp) AS SellEndDate, cast(NULL AS timestamp) AS DiscontinuedDate,
+          CASE WHEN p_partkey % 37 = 7 THEN timestamp '1994-01-01 00:00:00' ELSE NULL END AS SellEndDate,
+          cast(NULL AS timestamp) AS DiscontinuedDate,
           cast(NULL AS varchar(30)) AS rowguid, timestamp '2001-01-01 00:00:00' AS ModifiedDate
         FROM {part}""",
     "Production_ProductSubcategory": """
@@ -256,8 +271,19 @@ def part_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", "p_size", F.inline(F.array(*versions)))
 
 
+def _spoiled(versions: DataFrame) -> DataFrame:
+    """Some first versions cost less than nothing, or end before they start."""
+    first, number = F.col("ver") == 1, F.col("p_partkey") % 41
+    return versions.withColumns(
+        {
+            "cost": F.when(first & (number == 1), F.lit(-1).cast(MONEY)).otherwise(F.col("cost")),
+            "ed": F.when(first & (number == 2), F.lit(LONG_AGO).cast("timestamp")).otherwise(F.col("ed")),
+        }
+    )
+
+
 def cost_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return part_versions(spark, sf_dir).select(
+    return _spoiled(part_versions(spark, sf_dir)).select(
         F.col("p_partkey").alias("ProductID"),
         F.col("sd").alias("StartDate"),
         F.col("ed").alias("EndDate"),
@@ -268,7 +294,7 @@ def cost_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List prices; the second period has none."""
-    priced = part_versions(spark, sf_dir).filter(F.col("ver") != 2)
+    priced = _spoiled(part_versions(spark, sf_dir)).filter(F.col("ver") != 2)
     return priced.select(
         F.col("p_partkey").alias("ProductID"),
         F.col("sd").alias("StartDate"),

@@ -17,8 +17,10 @@ PERIODS = """(SELECT 1 v, timestamp '1995-01-01 00:00:00' sd, timestamp '1997-05
     cast(0.8 AS decimal(4,2)) f
   UNION ALL SELECT 2, timestamp '1997-05-30 00:00:00', timestamp '1999-05-29 00:00:00', cast(0.9 AS decimal(4,2))
   UNION ALL SELECT 3, timestamp '1999-05-30 00:00:00', cast(NULL AS timestamp), cast(1.0 AS decimal(4,2)))"""
-HISTORY = """SELECT p_partkey AS ProductID, sd AS StartDate, ed AS EndDate,
-    cast(cast(cast(p_retailprice AS decimal(19,4)) * f AS decimal(19,4)){factor} AS decimal(19,4)) AS {amount},
+HISTORY = """SELECT p_partkey AS ProductID, sd AS StartDate,
+    CASE WHEN v = 1 AND p_partkey % 41 = 2 THEN timestamp '1994-01-01 00:00:00' ELSE ed END AS EndDate,
+    cast(CASE WHEN v = 1 AND p_partkey % 41 = 1 THEN cast(-1 AS decimal(19,4))
+      ELSE cast(cast(p_retailprice AS decimal(19,4)) * f AS decimal(19,4)) END{factor} AS decimal(19,4)) AS {amount},
     timestamp '2001-01-01 00:00:00' AS ModifiedDate
   FROM part CROSS JOIN {periods} z WHERE p_size >= 6 {condition}"""
 

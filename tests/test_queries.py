@@ -4,6 +4,7 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from granary.registry import SOURCES
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -26,3 +27,13 @@ def test_query_equals_its_sql(spark, duck, small, name):
 def test_flagship_query(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+def test_every_check_rejects_some_row(duck):
+    """Each check text of the registry is held against SQL by at least one failing row."""
+    seen = set()
+    for name, sql in ORACLES.items():
+        if name.startswith("quarantine_"):
+            query = f"SELECT DISTINCT unnest(string_split(failed, ',')) FROM ({sql}) q"
+            seen |= {r[0] for r in duck.execute(query).fetchall()}
+    assert seen == {check for table in SOURCES.values() for check in table.checks}
