@@ -5,8 +5,9 @@ normalised (lower case, words only) and hashed to 128 bits. Equal digests are
 grouped globally; the occurrence of the lowest rank (document id, then row,
 then place) is kept and all others are repeats. Adjacent repeats of a document
 form a run, and runs of ``least_words`` words or more are removed, so passages
-go while a stock phrase or a one-word sentence stays. Spans are code point
-offsets of the original text.
+go while a stock phrase stays. Units of fewer than ``LEAST_UNIT`` words recur
+by chance; they belong to a run but add nothing to its size. Spans are code
+point offsets of the original text.
 
 Groups are counted before the shuffle and only digests that occur twice or
 more meet the units again, with both sides dealt anew, so a unit that a third
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import no_join_names, stored, whole_text
 
-LEAST_WORDS = 30
+LEAST_WORDS, LEAST_UNIT = 30, 3
 UNIT = re.compile(r"[^.!?\n]+[.!?]*\s?|[.!?\n]+\s?")
 WORD = re.compile(r"\w+")
 ROW, DOC, UNIT_AT = "_row", "_doc", "_unit"
@@ -112,9 +113,10 @@ def repeated_spans(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
             F.sum("words").alias("words"),
+            F.sum(F.when(F.col("words") >= LEAST_UNIT, F.col("words")).otherwise(0)).alias("size"),
             F.min(F.struct(F.col(UNIT_AT), F.col(f"first.{DOC}").alias("doc"))).alias("head"),
         )
-        .filter(F.col("words") >= least_words)
+        .filter(F.col("size") >= least_words)
         .select(ROW, DOC, "start", "end", "words", F.col("head.doc").alias("first_doc"))
     )
 

@@ -17,7 +17,7 @@ def brute(rows, least):
     for u in sorted(units, key=lambda u: (u[1], u[2])) + [None]:
         again = u and first[" ".join(u[5])] is not u
         if run and not (again and u[1] == run[-1][1] and u[2] == run[-1][2] + 1):
-            if sum(len(r[5]) for r in run) >= least:
+            if sum(len(r[5]) for r in run if len(r[5]) >= lines.LEAST_UNIT) >= least:
                 out.append((rows[run[0][1]][0], run[0][3], run[-1][4], sum(len(r[5]) for r in run), rows[first[" ".join(run[0][5])][1]][0]))
             run = []
         if again:
@@ -56,5 +56,10 @@ def test_texts_without_the_passages(docs):
     assert got[3].text == ""
 
 
+def test_one_word_units_make_no_passage(docs):
+    rows = [(1, "go. " * 60), (2, "Go! " * 60)]
+    assert lines.repeated_passages(docs(rows)).collect() == []
+
+
 def test_empty_table(docs):
     assert lines.repeated_passages(docs([])).collect() == []
