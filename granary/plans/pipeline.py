@@ -203,5 +203,10 @@ class Warehouse:
         if "FactInternetSalesReason" in active:
             self.load_sales_reasons()
 
+    def drop_catalog(self) -> None:
+        """Remove the layers' catalog entries; with the built-in catalog their folders go as well."""
+        for layer in ("gold", "silver", "bronze"):
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{layer} CASCADE")
+
     def _side_by_side(self, jobs: Iterable[Callable[[], Any]]) -> None:
         together(self.spark, jobs, self.parallel_jobs)

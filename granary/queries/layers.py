@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from granary.operators.checks import FAILED
+from granary.operators.checks import FAILED, PROPERTY_PREFIX
 from granary.operators.identity import assign_identity
 from granary.operators.sync import to_sink
 from granary.plans import dimensions, facts, silver
 from granary.plans.pipeline import Warehouse, together
-from granary.queries.storefront import bronze_like, unique_rows
+from granary.queries.storefront import bronze_like, changed, operational
 from granary.registry import SOURCES, WAREHOUSE, source
-from granary.session import scratch_path
+from granary.session import scratch_path, stored
 from granary.sources.landing import write_landing
 from granary.sources.tables import VersionedTable
 
 AS_OF = "2002-01-01 00:00:00"
+MERGE_COUNTS = ("inserted", "updated", "deleted")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,29 +104,93 @@ def gold_fact_internet_sales_reason(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _house(spark: SparkSession, label: str) -> Warehouse:
+    root = scratch_path(spark, label)
+    prefix = f"{root.rsplit('-', 1)[1]}_"
+    return Warehouse(spark, root, f"{root}/landing", prefix=prefix, as_of=AS_OF, wide_ids=True)
+
+
+def _land_all(house: Warehouse, sf: str, rows_of: Callable[[SparkSession, str, str], DataFrame]) -> None:
+    jobs = [partial(_land, house, name, partial(rows_of, house.spark, sf, name)) for name in SOURCES]
+    together(house.spark, jobs)
+
+
+def _land(house: Warehouse, name: str, rows: Callable[[], DataFrame]) -> str:
+    return write_landing(rows(), house.landing, SOURCES[name])
+
+
 def load_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Land all tables, load every layer twice, and compare the gold tables.
 
     Per gold table: its rows, the rows that the second load changed, and what
     the merge counted.
     """
-    root = scratch_path(spark, "warehouse")
-    house = Warehouse(
-        spark,
-        root,
-        f"{root}/landing",
-        prefix=f"{root.rsplit('-', 1)[1]}_",
-        as_of=AS_OF,
-        wide_ids=True,
-    )
-    together(spark, [partial(_land, house, sf, name) for name in SOURCES])
+    house = _house(spark, "warehouse")
+    _land_all(house, sf, operational)
     house.run()
     house.run()
-    return reduce(DataFrame.unionByName, [_rerun_report(house, spec.name) for spec in WAREHOUSE.values()])
+    reports = [_rerun_report(house, spec.name) for spec in WAREHOUSE.values()]
+    report = stored(reduce(DataFrame.unionByName, reports), "report")
+    house.drop_catalog()
+    return report
+
+
+# Columns of each gold table that the report of a changed load sums up.
+CONTENT = {
+    "DimDate": ("DateKey",),
+    "DimCurrency": ("CurrencyKey", "CurrencyAlternateKey", "CurrencyName"),
+    "DimPromotion": ("PromotionKey", "PromotionAlternateKey", "EnglishPromotionName", "MinQty"),
+    "DimSalesReason": ("SalesReasonKey", "SalesReasonAlternateKey", "SalesReasonName"),
+    "DimSalesTerritory": ("SalesTerritoryKey", "SalesTerritoryAlternateKey", "SalesTerritoryRegion"),
+    "DimCustomer": ("CustomerKey", "CustomerAlternateKey", "FirstName", "Phone"),
+    "DimProduct": ("ProductKey", "ProductAlternateKey", "Color", "Status"),
+    "FactInternetSales": ("SalesOrderNumber", "SalesOrderLineNumber", "OrderQuantity", "CustomerKey"),
+    "FactInternetSalesReason": ("SalesOrderNumber", "SalesOrderLineNumber", "SalesReasonKey"),
+}
 
 
-def _land(house: Warehouse, sf: str, name: str) -> str:
-    return write_landing(unique_rows(house.spark, sf, name), house.landing, SOURCES[name])
+def _change_report(house: Warehouse, name: str) -> DataFrame:
+    spec, kept = WAREHOUSE[name], house.gold(name)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in CONTENT[name]])
+    digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    content = kept.read().agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(digest), F.lit(0)).alias("content"))
+    counted = kept.changes(spec.keys, spec.null_safe_keys).select(*[F.col(c).cast("bigint") for c in MERGE_COUNTS])
+    both = counted.select("*", F.lit(0).alias("n_rows"), F.lit(0).alias("content")).unionByName(
+        content.select(*[F.lit(0).alias(c) for c in MERGE_COUNTS], "*")
+    )
+    sums = [F.sum(c).cast("bigint").alias(c) for c in both.columns]
+    return both.agg(*sums).select(F.lit(name).alias("table_name"), "*")
+
+
+def load_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Load every layer, change the source, load again: merge counts and content per gold table."""
+    house = _house(spark, "changed")
+    _land_all(house, sf, operational)
+    house.run()
+    _land_all(house, sf, changed)
+    house.run()
+    reports = [_change_report(house, name) for name in WAREHOUSE]
+    report = stored(reduce(DataFrame.unionByName, reports), "report")
+    house.drop_catalog()
+    return report
+
+
+def load_stored_check(spark: SparkSession, sf: str) -> DataFrame:
+    """A check that is added to the stored table rejects rows on the next load."""
+    house, table = _house(spark, "stored-check"), source("Customer")
+    _land(house, table.full_name, partial(operational, spark, sf, table.full_name))
+    house.load_bronze(table)
+    house.load_silver(table)
+    rule = f"'{PROPERTY_PREFIX}own_number' = 'CustomerID % 7 <> 0'"
+    spark.sql(f"ALTER TABLE {house.silver(table).name} SET TBLPROPERTIES ({rule})")
+    house.load_silver(table)
+    kept = house.silver(table).read().select("CustomerID", F.lit("").alias("failed"))
+    held = house.quarantine(table).read().select(
+        F.col("CustomerID").cast("bigint"), F.concat_ws(",", F.sort_array(FAILED)).alias("failed")
+    )
+    report = stored(kept.unionByName(held), "report")
+    house.drop_catalog()
+    return report
 
 
 def _rerun_report(house: Warehouse, name: str) -> DataFrame:
@@ -159,4 +224,6 @@ LAYER_QUERIES: dict[str, Query] = {
     "gold_fact_internet_sales": gold_fact_internet_sales,
     "gold_fact_internet_sales_reason": gold_fact_internet_sales_reason,
     "load_twice": load_twice,
+    "load_changed": load_changed,
+    "load_stored_check": load_stored_check,
 }

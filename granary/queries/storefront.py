@@ -337,3 +337,29 @@ def unique_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return rows
     rest = [c for c in rows.columns if c not in spec.keys and c != "ModifiedDate"]
     return keep_latest(rows, spec.keys, "ModifiedDate", rest)
+
+
+def changed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table some time later: rows changed, added and gone, a column new, one gone, keys repeated."""
+    rows = operational(spark, sf_dir, name)
+    later = "timestamp '2001-02-01 00:00:00' AS ModifiedDate"
+    if name == "Sales_Currency":
+        extra = spark.sql(f"SELECT 'XXX' AS CurrencyCode, 'Extra unit' AS Name, {later}")
+        return rows.filter("CurrencyCode <> 'AFR'").unionByName(extra)
+    if name == "Sales_SalesReason":
+        extra = spark.sql(f"SELECT 9 AS SalesReasonID, 'New' AS Name, 'Other' AS ReasonType, {later}")
+        return rows.filter("SalesReasonID <> 4").unionByName(extra)
+    if name == "Sales_SpecialOffer":
+        text = F.when(F.col("SpecialOfferID") == 5, F.concat("Description", F.lit("!"))).otherwise(F.col("Description"))
+        return rows.filter("SpecialOfferID <> 3").withColumns({"Description": text, "Note": F.lit("new")})
+    if name == "Sales_Customer":
+        text = F.when(F.col("CustomerID") % 50 == 1, "CHANGED").otherwise(F.col("AccountNumber"))
+        return rows.filter("CustomerID % 50 <> 0").withColumn("AccountNumber", text)
+    if name == "Production_Product":
+        text = F.when(F.col("ProductID") % 40 == 5, "zzz").otherwise(F.col("Color"))
+        return rows.filter("ProductID % 40 <> 3").withColumn("Color", text)
+    if name == "Sales_SalesOrderHeader":
+        return rows.filter("SalesOrderID % 30 <> 0").drop("Comment")
+    if name == "Sales_SalesOrderDetail":
+        return rows.unionByName(rows.filter("SalesOrderID % 97 = 1"))
+    return rows

@@ -7,6 +7,7 @@ written out here on their own.
 
 import re
 
+from granary.queries.layers import CONTENT
 from granary.queries.storefront import FEED_SQL
 from granary.registry import SOURCES, WAREHOUSE, source
 from granary.registry.base import widen_ids
@@ -88,7 +89,7 @@ def uuid_text(label: str, keys: tuple[str, ...]) -> str:
     return f"regexp_replace(md5({text}), '{groups}', '\\1-\\2-\\3-\\4-\\5')"
 
 
-def filled(name: str) -> str:
+def filled(name: str, feeds: dict[str, str] = FEEDS) -> str:
     """Latest row per key with all fills, before the checks."""
     spec = SOURCES[name]
     columns = [c for c, _ in columns_of(spec.ddl)]
@@ -110,16 +111,16 @@ def filled(name: str) -> str:
       SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY {", ".join(spec.keys)} ORDER BY {ranking}) rn
         FROM (SELECT *, cast(NULL AS timestamp) AS _process_timestamp,
-          'landing/{name}' AS _input_file_name FROM ({FEEDS[name]}) raw) feed) ranked
+          'landing/{name}' AS _input_file_name FROM ({feeds[name]}) raw) feed) ranked
       WHERE rn = 1) latest"""
 
 
-def silver(name: str) -> str:
+def silver(name: str, feeds: dict[str, str] = FEEDS) -> str:
     spec = SOURCES[name]
     types = {"STRING": "VARCHAR"}
     casts = ", ".join(f'cast("{c}" AS {types.get(t, t)}) AS "{c}"' for c, t in columns_of(spec.ddl))
     passes = " AND ".join(f"({sql})" for sql in spec.checks.values()) or "true"
-    return f"SELECT {casts} FROM ({filled(name)}) f WHERE {passes}"
+    return f"SELECT {casts} FROM ({filled(name, feeds)}) f WHERE {passes}"
 
 
 def quarantine(name: str) -> str:
@@ -137,12 +138,12 @@ def quarantine(name: str) -> str:
     )
 
 
-def with_silver(names: tuple[str, ...], query: str) -> str:
+def with_silver(names: tuple[str, ...], query: str, feeds: dict[str, str] = FEEDS) -> str:
     tables = []
     for n in names:
         # "Customer" and "customer" are one name in SQL, so silver tables get a prefix.
         query = query.replace(f'"{n}"', f"silver_{n}")
-        tables.append(f"silver_{n} AS MATERIALIZED ({silver(source(n).full_name)})")
+        tables.append(f"silver_{n} AS MATERIALIZED ({silver(source(n).full_name, feeds)})")
     return f"WITH {', '.join(tables)} {query}"
 
 
@@ -284,3 +285,72 @@ LAYER_ORACLES["load_twice"] = " UNION ALL ".join(
     "0 AS deleted, 0 AS changed_rows"
     for n, sql in RERUN_COUNTS.items()
 )
+
+
+# The source some time later.
+LATER = "timestamp '2001-02-01 00:00:00'"
+CHANGED = FEEDS | {
+    name: sql.format(feed=FEEDS[name])
+    for name, sql in {
+        "Sales_Currency": "SELECT * FROM ({feed}) f WHERE CurrencyCode <> 'AFR' "
+        f"UNION ALL SELECT 'XXX', 'Extra unit', {LATER}",
+        "Sales_SalesReason": "SELECT * FROM ({feed}) f WHERE SalesReasonID <> 4 "
+        f"UNION ALL SELECT 9, 'New', 'Other', {LATER}",
+        "Sales_SpecialOffer": "SELECT * REPLACE (CASE WHEN SpecialOfferID = 5 THEN Description || '!' "
+        "ELSE Description END AS Description) FROM ({feed}) f WHERE SpecialOfferID <> 3",
+        "Sales_Customer": "SELECT * REPLACE (CASE WHEN CustomerID % 50 = 1 THEN 'CHANGED' "
+        "ELSE AccountNumber END AS AccountNumber) FROM ({feed}) f WHERE CustomerID % 50 <> 0",
+        "Production_Product": "SELECT * REPLACE (CASE WHEN ProductID % 40 = 5 THEN 'zzz' ELSE Color END "
+        "AS Color) FROM ({feed}) f WHERE ProductID % 40 <> 3",
+        "Sales_SalesOrderHeader": "SELECT * FROM ({feed}) f WHERE SalesOrderID % 30 <> 0",
+    }.items()
+}
+
+
+def gold(name: str, feeds: dict[str, str]) -> str:
+    if name == "DimDate":
+        return f"SELECT cast(strftime(d, '%Y%m%d') AS int) AS DateKey FROM ({RERUN_COUNTS[name]}) days"
+    if name in DIMENSIONS:
+        return with_silver(WAREHOUSE[name].sources, DIMENSIONS[name], feeds)
+    if name == "FactInternetSales":
+        return with_silver(FACT_SOURCES, FACT, feeds)
+    return with_silver((*FACT_SOURCES, "SalesOrderHeaderSalesReason"), REASONS, feeds)
+
+
+def change_report(name: str) -> str:
+    """Merge counts and content of a gold table after the change; new keys follow the highest old one."""
+    spec = WAREHOUSE[name]
+    same = " AND ".join(
+        f'a."{k}" IS NOT DISTINCT FROM b."{k}"' if spec.null_safe_keys else f'a."{k}" = b."{k}"' for k in spec.keys
+    )
+    columns = list(CONTENT[name])
+    if spec.identity:
+        columns.remove(spec.identity)
+        order = ", ".join(f'b."{k}" NULLS FIRST' for k in spec.keys)
+        key = (
+            f'coalesce(a."{spec.identity}", (SELECT max("{spec.identity}") FROM a) '
+            f'+ row_number() OVER (PARTITION BY a."{spec.identity}" IS NULL ORDER BY {order}))'
+        )
+        parts = [key, *[f'b."{c}"' for c in columns]]
+    else:
+        parts = [f'b."{c}"' for c in columns]
+    text = ", ".join(f"coalesce(cast({p} AS varchar), '~')" for p in parts)
+    return f"""SELECT '{name}' AS table_name,
+      (SELECT count(*) FROM b ANTI JOIN a ON {same}) AS inserted,
+      (SELECT count(*) FROM b SEMI JOIN a ON {same}) AS updated,
+      (SELECT count(*) FROM a ANTI JOIN b ON {same}) AS deleted,
+      (SELECT count(*) FROM b) AS n_rows,
+      (SELECT cast(coalesce(sum(cast('0x' || substring(md5(line), 1, 8) AS bigint)), 0) AS bigint)
+        FROM (SELECT concat_ws('|', {text}) AS line FROM b LEFT JOIN a ON {same}) lines) AS content
+    FROM (SELECT 1) one"""
+
+
+LAYER_ORACLES["load_changed"] = " UNION ALL ".join(
+    f"SELECT * FROM (WITH a AS MATERIALIZED ({gold(n, FEEDS)}), b AS MATERIALIZED ({gold(n, CHANGED)}) "
+    f"{change_report(n)}) report_{snake(n)}"
+    for n in WAREHOUSE
+)
+LAYER_ORACLES["load_stored_check"] = f"""
+SELECT CustomerID, concat_ws(',', CASE WHEN PersonID IS NULL THEN 'CK_Customer_PersonID' END,
+  CASE WHEN CustomerID % 7 = 0 THEN 'own_number' END) AS failed
+FROM ({filled("Sales_Customer")}) f"""
