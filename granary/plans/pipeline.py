@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import partial
 from typing import Any
@@ -41,7 +41,8 @@ class Warehouse:
     ``prefix`` goes in front of the database names. ``connection`` lands the
     source tables over JDBC ahead of the layers. ``first_day`` and ``last_day``
     bound the calendar. ``retain`` is how many versions of a table are left,
-    ``unique_bronze`` refuses a bronze reload with repeated keys.
+    ``unique_bronze`` refuses a bronze reload with repeated keys. ``layout``
+    names columns that the files of a gold table are sorted by.
     """
 
     spark: SparkSession
@@ -57,6 +58,7 @@ class Warehouse:
     last_day: str = dimensions.LAST_DAY
     retain: int | None = None
     unique_bronze: bool = False
+    layout: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.as_of is None:
@@ -74,11 +76,11 @@ class Warehouse:
         return self._table("silver", folder, f"{table.full_name}_quarantine")
 
     def gold(self, name: str) -> VersionedTable:
-        return self._table("gold", name, name)
+        return self._table("gold", name, name, self.layout.get(name, ()))
 
-    def _table(self, layer: str, folder: str, name: str) -> VersionedTable:
+    def _table(self, layer: str, folder: str, name: str, cluster: Sequence[str] = ()) -> VersionedTable:
         path = f"{self.root.rstrip('/')}/{layer}/{folder}"
-        return VersionedTable(self.spark, path, f"{self.prefix}{layer}.{name}", self.retain)
+        return VersionedTable(self.spark, path, f"{self.prefix}{layer}.{name}", self.retain, cluster)
 
     def silver_frames(self, names: Iterable[str]) -> dict[str, DataFrame]:
         """Silver tables by registry name."""

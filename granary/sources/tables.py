@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from granary.operators.checks import declare_checks, read_checks
 from granary.operators.identity import assign_identity
+from granary.operators.ordered import cluster_rows
 from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
 from granary.sources import files
 
@@ -38,13 +39,20 @@ class RuleViolation(Exception):
 class VersionedTable:
     """One table at ``path``; ``name`` is its catalog name, ``database.table``.
 
-    ``retain`` is how many versions a load leaves, the new one included; all by default.
+    ``retain`` is how many versions a load leaves, the new one included; all by
+    default. ``cluster`` are columns that the files of a new version are laid out by.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, name: str | None = None, retain: int | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        name: str | None = None,
+        retain: int | None = None,
+        cluster: Sequence[str] = (),
     ) -> None:
-        self.spark, self.path, self.name, self.retain = spark, path.rstrip("/"), name, retain
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+        self.retain, self.cluster = retain, cluster
 
     def versions(self) -> list[int]:
         names = files.child_names(self.spark, self.path)
@@ -102,7 +110,8 @@ class VersionedTable:
         """
         number = max(self.versions(), default=-1) + 1
         seen = Observation()
-        measured = rows.observe(
+        laid_out = cluster_rows(rows, self.cluster) if self.cluster else rows
+        measured = laid_out.observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
             *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"missing_{c}") for c in required],

@@ -7,6 +7,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -75,6 +76,7 @@ def main() -> int:
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.driver.maxResultSize": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 from granary.operators import identity
 from granary.operators.identity import assign_identity
 from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
+from granary.sources import files
 from granary.sources.tables import RuleViolation, TableNotFound, VersionedTable, create_layers
 
 KEYED = StructType().add("sk", "long").add("k", "integer").add("v", "string")
@@ -172,3 +173,23 @@ def test_counts_handle_a_key_shared_by_most_rows(spark):
     target = spark.range(150).selectExpr("if(id % 3 = 0, null, id) as k")
     assert sync_counts(source, target, ["k"]).first() == (200, 100, 50)
     assert sync_counts(source, target, ["k"], null_safe=True).first() == (100, 100 + 100 * 50, 0)
+
+
+def test_files_are_laid_out_and_old_versions_go(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", retain=2, cluster=("k",))
+    for n in (3000, 2000, 1000):
+        table.publish(spark.range(n).selectExpr(f"cast({n} - 1 - id as int) k").repartition(5))
+    assert table.versions() == [1, 2] and table.read(1).count() == 2000
+    read = table.read().select("k", F.input_file_name().alias("f")).groupBy("f").agg(F.min("k"), F.max("k")).collect()
+    ranges = sorted((low, high) for _, low, high in read)
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_scratch_of_a_load_is_removed(spark):
+    from granary.session import scratch_scope, stored
+
+    with scratch_scope(spark):
+        kept = stored(spark.range(5), "kept")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert files.exists(spark, path)
+    assert not files.exists(spark, path)
