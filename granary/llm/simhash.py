@@ -197,7 +197,8 @@ def links_of(prints: DataFrame, reach: int = REACH) -> DataFrame:
         & (family == here)
         & ((here >= SAME_CLOSE) | F.col("l.nearest") | two_errors)
     )
-    return one.join(two, met).select(F.col("r.fp").alias("high"), F.col("l.fp").alias("low"))
+    # The planner takes the keys to be as small as the prints they are made from, and would broadcast them.
+    return one.join(two.hint("merge"), met).select(F.col("r.fp").alias("high"), F.col("l.fp").alias("low"))
 
 
 def near_groups(
