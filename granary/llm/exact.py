@@ -135,7 +135,8 @@ def exact_groups(
     groups = groups.select(
         SIZE, "name", F.col(f"first.{DOC}").alias("keep_id"), F.col(f"first.{ROW}").alias("keep_row"), "group_size"
     )
-    return known.join(groups, [SIZE, "name"]).select(
+    # Stored, so that the join deals both sides anew and can split a group that many rows share.
+    return known.join(stored(groups, "groups"), [SIZE, "name"]).select(
         F.col(DOC).alias("doc_id"),
         "keep_id",
         "group_size",
