@@ -25,7 +25,7 @@ def found(df):
     return sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("block", [1, 3, 8192])
+@pytest.mark.parametrize("block", [2, 8192])
 def test_equals_brute_force(docs, odd_rows, block):
     rnd = random.Random(block)
     texts = ["".join(rnd.choice("ab \n") for _ in range(rnd.randint(0, 9))) for _ in range(150)]

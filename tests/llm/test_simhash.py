@@ -61,10 +61,10 @@ def test_all_links_and_no_others(docs):
 
 
 def test_a_long_chain_is_one_component(docs):
-    chain = [(i + 1, i) for i in range(0, 60)] + [(100, 99)]
+    chain = [(i + 1, i) for i in range(0, 14)] + [(100, 99)]
     random.Random(1).shuffle(chain)
     got = {r.node: r.root for r in components(docs(chain, "high bigint, low bigint")).collect()}
-    assert got == {i: 0 for i in range(61)} | {99: 99, 100: 99}
+    assert got == {i: 0 for i in range(15)} | {99: 99, 100: 99}
     assert components(docs([], "high bigint, low bigint")).collect() == []
 
 
