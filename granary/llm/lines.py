@@ -1,7 +1,10 @@
 """Substring dedup by line hashing.
 
-Texts are cut into units at line ends and sentence marks. Each unit is
-normalised (lower case, words only) and hashed to 128 bits. Equal digests are
+Texts are cut into sentences at line ends and sentence marks, and sentences
+into units at words whose hash is the smallest of the ``AROUND`` words on
+either side. A border depends on no word farther off, so a passage that begins
+and ends within other sentences has the same borders wherever it is set, and
+loses a few words at its edges at most. Each unit is normalised (lower case, words only) and hashed to 128 bits. Equal digests are
 grouped globally; the occurrence of the lowest rank (document id, then row,
 then place) is kept and all others are repeats. Adjacent repeats of a document
 form a run, and runs of ``least_words`` words or more are removed, so passages
@@ -20,6 +23,7 @@ around them, and rows with one id rank by their place in the input.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,13 +35,14 @@ from pyspark.sql import functions as F
 from granary.llm.common import no_join_names, stored, whole_text
 
 LEAST_WORDS, LEAST_UNIT = 30, 3
+AROUND = 2
 UNIT = re.compile(r"[^.!?\n]+[.!?]*\s?|[.!?\n]+\s?")
 WORD = re.compile(r"\w+")
 ROW, DOC, UNIT_AT = "_row", "_doc", "_unit"
 
 
-def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """Start, end and words of each unit that has words; other stretches join the unit before."""
+def sentences_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each sentence that has words; other stretches join the sentence before."""
     start, words = 0, []
     for m in UNIT.finditer(text):
         found = WORD.findall(m[0].lower())
@@ -50,6 +55,38 @@ def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
         yield start, len(text), words
 
 
+def borders(words: list[str]) -> list[int]:
+    """Places of the words that begin a unit inside a sentence: neither at its ends nor close to each other."""
+    if len(words) < 2 * AROUND + 2:
+        return []
+    hashes = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    found = []
+    for k in range(AROUND + 1, len(words) - AROUND):
+        own = hashes[k]
+        if own < min(hashes[k - AROUND : k]) and own <= min(hashes[k + 1 : k + AROUND + 1]):
+            found.append(k)
+    return found
+
+
+def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit; the units of a sentence cover it."""
+    for _, start, end, words in numbered_units(text):
+        yield start, end, words
+
+
+def numbered_units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
+    """The units, each with the number of its sentence."""
+    for number, (start, end, words) in enumerate(sentences_of(text)):
+        inside = borders(words)
+        places = [m.start() for m in WORD.finditer(text, start, end)] if inside else []
+        if len(places) != len(words):  # no border, or lower case has other words than the text
+            yield number, start, end, words
+            continue
+        for one, two in zip([0, *inside], [*inside, len(words)]):
+            last = end if two == len(words) else places[two]
+            yield number, places[one] if one else start, last, words[one:two]
+
+
 def unit_rows(rows: DataFrame) -> DataFrame:
     """``_row, _doc, _unit, start, end, words, a, b`` per unit."""
 

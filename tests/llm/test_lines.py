@@ -63,3 +63,15 @@ def test_one_word_units_make_no_passage(docs):
 
 def test_empty_table(docs):
     assert lines.repeated_passages(docs([])).collect() == []
+
+
+def test_passages_inside_sentences(docs):
+    rnd = random.Random(4)
+    word = lambda: f"w{rnd.randint(0, 10**6)}"
+    for sizes in ([60], [20, 40], [12, 5, 12, 31], [30, 28, 15]):
+        passage = ". ".join(" ".join(word() for _ in range(n)) for n in sizes)
+        rows = [(i, " ".join([*(word() for _ in range(9 + i)), passage, *(word() for _ in range(15 - i))])) for i in range(4)]
+        got = found(lines.repeated_passages(docs(rows).coalesce(1)))
+        assert [g[0] for g in got] == [1, 2, 3] and all(g[3] >= lines.LEAST_WORDS for g in got)
+        for i, start, end, *_ in got:
+            assert rows[i][1][start:end].strip() in passage
