@@ -8,7 +8,8 @@ loses a few words at its edges at most. Each unit is normalised (lower case, wor
 grouped globally; the occurrence of the lowest rank (document id, then row,
 then place) is kept and all others are repeats. Adjacent repeats of a document
 form a run, and runs of ``least_words`` words or more are removed, so passages
-go while a stock phrase stays. Units of fewer than ``LEAST_UNIT`` words recur
+go while a stock phrase stays. ``repeated_text`` also returns the shorter
+repeats, as sentences or lines of which every unit is a repeat. Units of fewer than ``LEAST_UNIT`` words recur
 by chance; they belong to a run but add nothing to its size. Spans are code
 point offsets of the original text.
 
@@ -88,39 +89,45 @@ def numbered_units(text: str) -> Iterator[tuple[int, int, int, list[str]]]:
 
 
 def unit_rows(rows: DataFrame) -> DataFrame:
-    """``_row, _doc, _unit, start, end, words, a, b`` per unit."""
+    """``_row, _doc, _unit, sentence, start, end, words, a, b`` per unit, and the number of ``units`` in its sentence."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 200):
                 part = batch.slice(first, 200)
-                owners, places, starts, ends, counts, digests = [], [], [], [], [], []
+                owners, places, sentences, starts, ends, counts, digests = [], [], [], [], [], [], []
                 for i, text in enumerate(part.column("text").to_pylist()):
-                    for k, (start, end, words) in enumerate(units_of(text)):
+                    for k, (sentence, start, end, words) in enumerate(numbered_units(text)):
                         owners.append(i)
                         places.append(k)
+                        sentences.append(sentence)
                         starts.append(start)
                         ends.append(end)
                         counts.append(len(words))
                         digests.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
                 halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 taken = pa.array(owners, pa.int64())
+                own, of = np.array(owners, dtype=np.int64), np.array(sentences, dtype=np.int64)
+                _, group, sizes = np.unique(own << 32 | of, return_inverse=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(ROW).take(taken),
                         part.column(DOC).take(taken),
                         pa.array(places, pa.int32()),
+                        pa.array(sentences, pa.int32()),
+                        pa.array(sizes[group], pa.int32()),
                         pa.array(starts, pa.int32()),
                         pa.array(ends, pa.int32()),
                         pa.array(counts, pa.int32()),
                         pa.array(halves[:, 0]),
                         pa.array(halves[:, 1]),
                     ],
-                    names=[ROW, DOC, UNIT_AT, "start", "end", "words", "a", "b"],
+                    names=[ROW, DOC, UNIT_AT, "sentence", "units", "start", "end", "words", "a", "b"],
                 )
 
     kind = rows.schema[DOC].dataType.simpleString()
-    schema = f"{ROW} bigint, {DOC} {kind}, {UNIT_AT} int, start int, end int, words int, a bigint, b bigint"
+    schema = f"{ROW} bigint, {DOC} {kind}, {UNIT_AT} int, sentence int, units int, start int, end int, words int"
+    schema += ", a bigint, b bigint"
     return rows.select(ROW, DOC, "text").mapInArrow(cut, schema)
 
 
@@ -129,35 +136,43 @@ def rank() -> Column:
     return F.struct(F.col(DOC).isNull().alias("none"), F.col(DOC), F.col(ROW), F.col(UNIT_AT))
 
 
-def repeated_spans(
-    rows: DataFrame, least_words: int = LEAST_WORDS
-) -> DataFrame:
-    """Runs of repeats: ``_row, _doc, start, end, words, first_doc``, for numbered rows with ``text``.
-
-    ``first_doc`` is the document that keeps the run's first unit.
-    """
+def repeats_of(rows: DataFrame) -> DataFrame:
+    """The units that are repeats, each with its ``run`` of adjacent ones, for numbered rows with ``text``."""
     units = stored(unit_rows(rows), "units")
     groups = units.groupBy("a", "b").agg(F.min(rank()).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = stored(groups.filter("n > 1").drop("n"), "repeated")
-    again = units.join(repeated, ["a", "b"]).filter(F.col("first") != rank())
+    again = units.join(repeated, ["a", "b"]).filter(F.col("first") != rank()).drop("a", "b")
     in_text = Window.partitionBy(ROW).orderBy(UNIT_AT)
     # Places of adjacent units grow in step with their numbers.
-    runs = again.withColumn("run", F.col(UNIT_AT) - F.row_number().over(in_text))
-    return (
-        runs.groupBy(ROW, "run")
-        .agg(
-            F.first(DOC).alias(DOC),
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            F.sum("words").alias("words"),
-            F.sum(F.when(F.col("words") >= LEAST_UNIT, F.col("words")).otherwise(0)).alias("size"),
-            F.min(F.struct(F.col(UNIT_AT), F.col(f"first.{DOC}").alias("doc"))).alias("head"),
-        )
-        .filter(F.col("size") >= least_words)
-        .select(ROW, DOC, "start", "end", "words", F.col("head.doc").alias("first_doc"))
+    return again.withColumn("run", F.col(UNIT_AT) - F.row_number().over(in_text))
+
+
+def spans_of(repeats: DataFrame, by: str) -> DataFrame:
+    return repeats.groupBy(ROW, by).agg(
+        F.first(DOC).alias(DOC),
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.sum("words").alias("words"),
+        F.sum(F.when(F.col("words") >= LEAST_UNIT, F.col("words")).otherwise(0)).alias("size"),
+        F.min(F.struct(F.col(UNIT_AT), F.col(f"first.{DOC}").alias("doc"))).alias("head"),
+        F.count(F.lit(1)).alias("n"),
+        F.first("units").alias("units"),
     )
 
 
+def repeated_spans(rows: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """Runs of repeats: ``_row, _doc, start, end, words, first_doc``, for numbered rows with ``text``.
+
+    ``first_doc`` is the document that keeps the run's first unit.
+    """
+    return passages_of(repeats_of(rows), least_words).drop("run")
+
+
+def passages_of(repeats: DataFrame, least_words: int) -> DataFrame:
+    runs = spans_of(repeats, "run").filter(F.col("size") >= least_words)
+    return runs.select(ROW, "run", DOC, "start", "end", "words", F.col("head.doc").alias("first_doc"))
+
+
 def numbered(docs: DataFrame, doc_id: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
     no_join_names(docs.select(*[f"`{c}`" for c in carry]), ROW, DOC, "text", "spans")
     return stored(
@@ -185,6 +200,33 @@ def repeated_passages(
     )
 
 
+def repeated_text(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
+) -> DataFrame:
+    """All repeats: ``doc_id, start, end, n_words, first_doc_id, kind``, no two of which overlap.
+
+    Kind ``passage`` are the runs of ``repeated_passages``; kind ``sentence``
+    are the other sentences and lines of ``LEAST_UNIT`` words or more that
+    occur before as a whole.
+    """
+    repeats = stored(repeats_of(numbered(docs, doc_id, text)), "again")
+    passages = stored(passages_of(repeats, least_words), "passages")
+    short = repeats.join(passages.select(ROW, "run"), [ROW, "run"], "left_anti")
+    whole = spans_of(short, "sentence").filter((F.col("n") == F.col("units")) & (F.col("words") >= LEAST_UNIT))
+    sentences = whole.select(ROW, DOC, "start", "end", "words", F.col("head.doc").alias("first_doc"))
+    both = passages.drop("run").withColumn("kind", F.lit("passage")).unionByName(
+        sentences.withColumn("kind", F.lit("sentence"))
+    )
+    return both.select(
+        F.col(DOC).alias("doc_id"),
+        "start",
+        "end",
+        F.col("words").cast("bigint").alias("n_words"),
+        F.col("first_doc").alias("first_doc_id"),
+        "kind",
+    )
+
+
 def without_passages(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:

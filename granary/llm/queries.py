@@ -59,7 +59,7 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return lines.repeated_passages(table(spark, sf_dir, "documents"))
+    return lines.repeated_text(table(spark, sf_dir, "documents"))
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

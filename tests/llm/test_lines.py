@@ -75,3 +75,26 @@ def test_passages_inside_sentences(docs):
         assert [g[0] for g in got] == [1, 2, 3] and all(g[3] >= lines.LEAST_WORDS for g in got)
         for i, start, end, *_ in got:
             assert rows[i][1][start:end].strip() in passage
+
+
+def test_shorter_repeats_are_rows_of_their_own_kind(docs):
+    line = "Licensed under the terms of the public licence, version two."
+    passage = " ".join(f"p{k}" for k in range(55)) + "."
+    rows = [(k, f"Own{k} words a{k} b{k} here{k}.\n{line}\nMore{k} own{k} c{k}. {passage}") for k in range(4)]
+    got = found(lines.repeated_text(docs(rows)))
+    want = []
+    for k, text in rows[1:]:
+        at = text.index(line)
+        want.append((k, at, at + len(line) + 1, 10, 0, "sentence"))
+        want.append((k, text.index(passage), len(text), 55, 0, "passage"))
+    assert got == sorted(want, key=str)
+    assert [g[0] for g in found(lines.repeated_passages(docs(rows)))] == [1, 2, 3]
+
+
+def test_the_query_returns_shorter_repeats(llm, docs, tmp_path):
+    from granary.llm.queries import op6_substring_dedup
+
+    rows = [(k, f"Own{k} a{k} b{k}.\nThe same line of eight words comes again\n") for k in range(3)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = found(op6_substring_dedup(llm, str(tmp_path)))
+    assert [(g[0], g[3], g[4]) for g in got] == [(1, 8, 0), (2, 8, 0)]
