@@ -14,7 +14,8 @@ documents of each class and ``MOST_GRAMS`` indicators that at least
 held-out fold are never read, and language, source and id are no inputs.
 
 Edge cases: NULL text counts as empty; a text without known indicators gets
-the score of the bias alone. Without labels of both classes each score is 0.
+the score of the bias alone. Without labels of both classes nothing is learnt:
+each score is 0, and no row is dropped for it.
 """
 
 from __future__ import annotations
@@ -283,7 +284,9 @@ def quality(
 
 
 def keep_good(docs: DataFrame, model: NaiveBayesSvm, threshold: float, text: str = "text") -> DataFrame:
-    """The rows whose text the classifier accepts, with all their columns."""
+    """The rows whose text the classifier accepts, with all their columns; all rows if it was never calibrated."""
+    if model.calibration is None:
+        return docs
     plain, names = plain_names(docs)
     scored = plain.withColumn("_score", score(docs.sparkSession, model, whole_text(names[text])))
     return with_names(scored.filter(F.col("_score") >= threshold), names)
