@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, decontaminate, exact, lines, lm, quality, simhash, token_counts, toxicity
+from granary.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact,
+    lines,
+    lm,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from granary.llm.common import fold, prepare, table
 from granary.llm.labelled import labelled_sample
 
@@ -107,6 +119,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.piece_digests(pieces)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -118,6 +136,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
+    "op11_packing": op11_packing,
 }
 
 LLM_ORACLES: dict[str, str] = {
