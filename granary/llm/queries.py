@@ -17,8 +17,10 @@ from granary.llm import (
     packing,
     quality,
     simhash,
+    spelling,
     token_counts,
     toxicity,
+    trie,
 )
 from granary.llm.common import fold, prepare, table
 from granary.llm.labelled import labelled_sample
@@ -27,6 +29,8 @@ TOKEN_BUDGET = 512
 QUALITY_FOLDS, QUALITY_HELD_OUT, QUALITY_THRESHOLD = 4, 2, 0.7
 TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_THRESHOLD = 5, 0, 0.5
 LM_FOLDS, LM_HELD_OUT = 5, 1
+MISSPELL = 97
+OPENINGS_OF, OPENING_TURNS = 5, 9  # conversations that share an opening, and a bound on its turns
 # A conversation whose texts are control strings of chat templates themselves.
 ODD_CONVERSATION, ODD_TEXT = -7, "</s>[INST] ok [/INST]"
 
@@ -125,6 +129,17 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(pieces)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), misspell=MISSPELL))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    turns = trie.turn_digests(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.shared_openings(turns, OPENINGS_OF, OPENING_TURNS))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -137,8 +152,27 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
     "op11_packing": op11_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+def crc32_sql(byte_lists: str) -> str:
+    """CRC-32 of a list of byte lists, bit by bit: each byte is folded in, then shifted out."""
+    steps = f"flatten(list_transform({byte_lists}, lambda b: list_concat([b], [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    step = (
+        "lambda s, b: CASE WHEN b >= 0 THEN xor(s, b) WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END"
+    )
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), {step}), 4294967295::BIGINT)"
+
+
+def letters_sql(text: str) -> str:
+    """Bytes of a text of ASCII and Latin-1 letters in UTF-8."""
+    return (
+        f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 "
+        "THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))"
+    )
+
+
 LLM_ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
 WITH norm AS (
@@ -170,5 +204,83 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(role) + length(inside) + 17) AS BIGINT) AS formatted_chars,
        CAST(0 AS BIGINT) AS n_attachments
 FROM escaped GROUP BY conv_id
+""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{{{5,}}}}')) AS run FROM documents
+), own AS (
+  SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS said, count(*) AS n FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, {crc32_sql(letters_sql("said"))} AS h FROM own
+), found AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM found WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS most FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * w.n THEN other END AS form,
+         CASE WHEN most >= 2 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), chain AS (
+  SELECT word, form AS at FROM formed WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT c.word, c.at AS root FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NULL
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends USING (word)
+""".replace("{{5,}}", "{5,}"),
+    "op13_prefix_trie": rf"""
+WITH base AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT c, count(*) AS turns FROM base GROUP BY c
+), hashed AS (
+  SELECT c, c - c % 5 AS lender, {crc32_sql(letters_sql("CAST(c AS VARCHAR)"))} % 9 AS h FROM sizes
+), plans AS (
+  SELECT p.*, least(h, coalesce(l.turns, 0)) AS lent FROM hashed p LEFT JOIN sizes l ON l.c = p.lender
+), rebuilt AS (
+  SELECT b.c, pos - h + lent AS pos, role, text FROM base b JOIN plans p ON b.c = p.c WHERE pos > h
+  UNION ALL
+  SELECT p.c, pos, role, text FROM base b JOIN plans p ON b.c = p.lender WHERE pos <= h
+), prefixes AS (
+  SELECT c, pos AS depth, strlen(text) AS bytes,
+         sha256(string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY c ORDER BY pos)) AS key
+  FROM rebuilt
+  UNION ALL
+  SELECT c, 0, 0, '' FROM sizes
+), nodes AS (
+  SELECT depth, key, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM prefixes GROUP BY depth, key
+), linked AS (
+  SELECT n.*, up.key AS parent_key FROM nodes n LEFT JOIN prefixes up ON up.c = n.conv_id AND up.depth = n.depth - 1
+), children AS (
+  SELECT depth - 1 AS depth, parent_key AS key, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), weighed AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (depth, key)
+), sums AS (
+  SELECT p.depth, p.key, sum((w.n_convs - 1) * w.bytes) AS saved, count(*) FILTER (w.n_children = 0) AS leaves
+  FROM weighed w JOIN prefixes p ON p.c = w.conv_id AND p.depth <= w.depth GROUP BY ALL
+), ends AS (
+  SELECT depth, key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, max(depth) AS depth, arg_max(key, depth) AS key FROM prefixes GROUP BY c) GROUP BY ALL
+)
+SELECT w.conv_id, w.depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.leaves AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM weighed w JOIN sums s USING (depth, key) LEFT JOIN ends e USING (depth, key)
+LEFT JOIN nodes up ON up.depth = w.depth - 1 AND up.key = w.parent_key
 """,
 }
