@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.session import scratch_path
+from granary.session import scratch_path, stored
 
 PARTITION, POSITION = "_partition", "_position"
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
@@ -79,3 +80,49 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     return local.join(before, same_part, "left").select(
         *df.columns, number.cast("int").alias(name)
     )
+
+
+def number_in_lanes(
+    df: DataFrame,
+    group: Sequence[str],
+    lanes: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    split: DataFrame | None = None,
+) -> DataFrame:
+    """Number the rows of each group from 1, as an INT, in the partitioning they already have.
+
+    ``lanes`` are columns that cut a large group into parts, in the order of
+    ``order``: equal order values share a lane, and later lanes hold later
+    rows. Rows are numbered within group and lane, which a partitioning by any
+    of these columns serves without another shuffle and without a sort of all
+    rows. What earlier lanes of a group hold is counted apart and added.
+
+    ``split`` has the group and lane columns of the rows whose groups may have
+    several lanes, all rows by default. Only these are counted; a caller that
+    knows them saves a second run of the plan behind ``df``.
+    """
+    parts = [*group, *lanes]
+    local = df.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
+    earlier = Window.partitionBy(*group).orderBy(*lanes).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        (df if split is None else split)
+        .groupBy(*parts)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_earlier", F.sum("_n").over(earlier))
+        .filter(F.col("_earlier") > 0)
+        .select(*[F.col(c).alias(f"_key_{c}") for c in parts], "_earlier")
+    )
+    offsets = stored(offsets, "lane-offsets")
+    number = F.col(name)
+    if not offsets.isEmpty():
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in parts])
+        local = local.join(offsets, same, "left")
+        number = number + F.coalesce(F.col("_earlier"), F.lit(0))
+    return local.select(*df.columns, number.cast("int").alias(name))
+
+
+def split_groups(df: DataFrame, group: str, lane: Column) -> DataFrame:
+    """Groups with rows in more than one lane, from one aggregate over two columns."""
+    spans = df.groupBy(group).agg((F.min(lane) < F.max(lane)).alias("_several"))
+    return spans.filter("_several").select(group)

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.calendar import date_key
 from granary.functions.sales import discount_amount, order_id, product_cost, sales_amount
 from granary.operators.dedup import one_per_key
 from granary.operators.fills import AsOf
-from granary.operators.history import join_valid_version
-from granary.operators.shaping import number_lines, project
+from granary.operators.history import join_as_of, join_valid_version
+from granary.operators.ordered import number_in_lanes, split_groups
+from granary.operators.shaping import project
 from granary.registry import WAREHOUSE
 from granary.session import stored
 
 Frames = Mapping[str, DataFrame]
 
+MANY_VERSIONS = 64  # of one product, that each of its lines may meet
+LANE = 1 << 20  # ids of order lines that are numbered together
+
 # Dimensions the sales fact looks up, with the columns it reads of each.
 LOOKUPS = {
     "DimProduct": ("ProductAlternateKey", "StandardCost", "StartDate", "EndDate"),
@@ -73,29 +77,66 @@ def product_versions(silver: Frames, gold: Frames) -> DataFrame:
     ).select("p.ProductID", "d.ProductKey", "d.StandardCost", "d.StartDate", "d.EndDate")
 
 
+def line_lane(detail_id: str) -> Column:
+    """Lines of an order with neighbouring ids; an order of very many lines has several lanes."""
+    return F.floor(F.col(detail_id) / LANE).cast("bigint")
+
+
+def orders_in_lanes(silver: Frames) -> DataFrame:
+    """Orders whose line numbers run over several lanes: long ones, and those that share an order number."""
+    detail, header = silver["SalesOrderDetail"], silver["SalesOrderHeader"]
+    long = split_groups(detail, "SalesOrderID", line_lane("SalesOrderDetailID"))
+    shared = split_groups(header, "SalesOrderNumber", F.col("SalesOrderID"))
+    doubled = header.join(stored(shared, "shared-numbers"), "SalesOrderNumber", "left_semi").select("SalesOrderID")
+    return stored(long.unionByName(doubled).distinct(), "orders-in-lanes")
+
+
 def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> DataFrame:
     """Lines of online orders with their surrogate keys, line numbers and amounts.
 
     The two folded lookups are stored first, so that the size of their files
     decides: small ones are broadcast, large ones sort-merged, without a hint.
-    Adaptive execution splits hot products, orders and territories.
+    Adaptive execution splits hot products, orders and territories. Lines are
+    numbered in the partitioning by order that their join with the header
+    leaves, so the joined rows are neither shuffled nor sorted as a whole.
     """
     versions = stored(product_versions(silver, gold), "product-versions")
     territories = stored(territory_lookup(silver, gold), "territories")
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    in_lanes = orders_in_lanes(silver)
+    detail = silver["SalesOrderDetail"]
+    split = None
+    if not in_lanes.isEmpty():
+        split = sales_lines(detail.join(in_lanes, "SalesOrderID", "left_semi"), silver, versions, territories, gold, today)
+    named = sales_lines(detail, silver, versions, territories, gold, today)
+    numbered = number_in_lanes(
+        named,
+        ["SalesOrderNumber"],
+        ["_order", "_lane"],
+        ["_line", "ProductKey"],
+        "SalesOrderLineNumber",
+        named.limit(0) if split is None else split,
+    )
+    line = F.col("SalesOrderLineNumber").cast("tinyint")
+    return numbered.withColumn("SalesOrderLineNumber", line).select(*WAREHOUSE["FactInternetSales"].struct.names)
+
+
+def sales_lines(
+    detail: DataFrame, silver: Frames, versions: DataFrame, territories: DataFrame, gold: Frames, today: Column
+) -> DataFrame:
+    """The fact's columns of the online lines in ``detail``, with the order, lane and id of each line."""
     online = silver["SalesOrderHeader"].filter(F.col("OnlineOrderFlag"))
-    lines = silver["SalesOrderDetail"].alias("l").join(
+    lines = detail.alias("l").join(
         online.alias("h"), F.col("l.SalesOrderID") == F.col("h.SalesOrderID"), "inner"
     )
-    priced = join_valid_version(
-        lines,
-        versions.alias("v"),
-        F.col("l.ProductID") == F.col("v.ProductID"),
-        F.col("h.OrderDate"),
-        F.col("v.StartDate"),
-        F.col("v.EndDate"),
-        today.cast("timestamp"),
-    )
+    product, ordered, as_of = F.col("l.ProductID"), F.col("h.OrderDate"), today.cast("timestamp")
+    if (versions.groupBy("ProductID").count().agg(F.max("count")).first()[0] or 0) > MANY_VERSIONS:
+        # One candidate per line, where a product has more versions than a line should meet.
+        priced = join_as_of(lines, versions, [product], ordered, ["ProductID"], "StartDate", "EndDate", as_of)
+    else:
+        own = product == F.col("v.ProductID")
+        valid = (F.col("v.StartDate"), F.col("v.EndDate"))
+        priced = join_valid_version(lines, versions.alias("v"), own, ordered, *valid, as_of)
     joined = priced.join(
         gold["DimPromotion"].alias("pr"),
         F.col("l.SpecialOfferID") == F.col("pr.PromotionAlternateKey"),
@@ -106,7 +147,7 @@ def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> Dat
         "left",
     )
     discount, unit_price = F.col("l.UnitPriceDiscount"), F.col("l.UnitPrice")
-    named = project(
+    return project(
         joined,
         {
             "ProductKey": "v.ProductKey",
@@ -135,16 +176,10 @@ def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> Dat
             "DueDate": "h.DueDate",
             "ShipDate": "h.ShipDate",
             "_order": "l.SalesOrderID",
+            "_lane": line_lane("l.SalesOrderDetailID"),
             "_line": "l.SalesOrderDetailID",
         },
     )
-    numbered = number_lines(
-        named,
-        ["SalesOrderNumber"],
-        ["_order", "_line", "ProductKey"],
-        "SalesOrderLineNumber",
-    )
-    return numbered.select(*WAREHOUSE["FactInternetSales"].struct.names)
 
 
 def fact_internet_sales_reason(fact: DataFrame, silver: Frames) -> DataFrame:

@@ -89,7 +89,10 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
     gold = dict(
         zip(facts.LOOKUPS, together(spark, [partial(stored_lookup, n, spark, sf) for n in facts.LOOKUPS]))
     )
-    return facts.fact_internet_sales(silver_frames(spark, sf, spec.sources), gold, AS_OF)
+    silver_tables = silver_frames(spark, sf, spec.sources)
+    for name in ("SalesOrderHeader", "SalesOrderDetail"):  # stored, as a load has them
+        silver_tables[name] = stored(silver_tables[name], name)
+    return facts.fact_internet_sales(silver_tables, gold, AS_OF)
 
 
 def gold_fact_internet_sales(spark: SparkSession, sf: str) -> DataFrame:

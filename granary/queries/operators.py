@@ -11,11 +11,12 @@ from granary.functions.sales import MONEY, discount_amount, order_id, sales_amou
 from granary.functions.sales import account_number as sales_account
 from granary.operators import checks, conform, dedup, fills, history, shaping, sync
 from granary.operators.identity import assign_identity
-from granary.operators.ordered import number_rows
+from granary.operators.ordered import number_in_lanes, number_rows, split_groups
+from granary.plans import facts
 from granary.plans.dimensions import describe_days
 from granary.queries.storefront import part_versions, table
 from granary.registry import SourceTable
-from granary.session import scratch_path
+from granary.session import scratch_path, stored
 from granary.sources.landing import read_landing, write_landing
 from granary.sources.tables import VersionedTable
 
@@ -198,6 +199,41 @@ def merge_counts(spark: SparkSession, sf: str) -> DataFrame:
     return sync.sync_counts(_later_customers(spark, sf), _earlier_customers(spark, sf), ["id"])
 
 
+def _feed_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders before and after: some new, some gone, some with another price or a priority that went missing."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    key = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey")).alias("k")  # some keys have a NULL part
+    rows = orders.select(key, F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("p"),
+                         F.col("o_orderpriority").alias("q"), F.col("o_orderkey").alias("n"))
+    price = F.when(F.col("n") % 5 == 0, F.col("p") + 1).otherwise(F.col("p"))
+    missing = F.when(F.col("n") % 7 != 0, F.col("q"))
+    return rows.filter("n % 13 <> 0"), rows.filter("n % 17 <> 0").withColumns({"p": price, "q": missing})
+
+
+def merge_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """What a load inserted, changed and deleted, from the digests kept beside two versions."""
+    old, new = _feed_tables(spark, sf)
+    target = VersionedTable(spark, scratch_path(spark, "merge_feed"))
+    target.publish(old)
+    target.publish(new)
+    return target.feed(["k", "n"]).withColumnRenamed(sync.CHANGE, "change")
+
+
+def merge_feed_applied(spark: SparkSession, sf: str) -> DataFrame:
+    """The old version with the feed applied, keys matched null-safely: the new version."""
+    old, new = _feed_tables(spark, sf)
+    feed = sync.change_feed(new, old, ["k", "n"], null_safe=True)
+    return sync.apply_feed(old, stored(feed, "feed"), ["k", "n"])
+
+
+def merge_feed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that a load left as they were, changed, inserted and deleted, of repeated and NULL keys too."""
+    old, new = _feed_tables(spark, sf)
+    keys = ["c", "k"]
+    changes = sync.key_changes(sync.row_digests(new, keys), sync.row_digests(old, keys), keys)
+    return changes.groupBy(F.col(sync.CHANGE).alias("change")).agg(F.sum("rows").alias("n"))
+
+
 def _suppliers_by_nullable_key(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "supplier").select(
         F.when(F.col("s_acctbal") >= 1000, F.col("s_suppkey")).alias("k"),
@@ -410,6 +446,21 @@ def scd_range_join(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("l_orderkey", "l_linenumber", F.col("p_partkey").alias("pid"), "ver", "cost")
 
 
+def scd_as_of_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with the daily version of their part: one version a day, ends inclusive, some of two days."""
+    lines = latest_lines(spark, sf).join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # A part has a version for each day on which it was ordered; those of even days last a day longer.
+    days = lines.select(F.col("l_partkey").alias("part"), F.to_date("o_orderdate").alias("day")).distinct()
+    longer = F.when(F.dayofmonth("day") % 2 == 0, F.date_add("day", 1)).otherwise(F.col("day"))
+    open_end = F.when(F.col("part") % 10 != 0, longer)
+    daily = days.select("part", F.col("day").alias("sd"), open_end.alias("ed"))
+    dated = lines.withColumn("ordered", F.to_date("o_orderdate"))
+    joined = history.join_as_of(
+        dated, daily, [F.col("l_partkey")], F.col("ordered"), ["part"], "sd", "ed", as_of().cast("date")
+    )
+    return joined.select("l_orderkey", "l_linenumber", "l_partkey", "ordered", "sd", "ed")
+
+
 def version_overlap(spark: SparkSession, sf: str) -> DataFrame:
     """Versions that touch the one before; the first version of small parts ends late."""
     late = F.when((F.col("ver") == 1) & (F.col("p_size") < 20), F.lit("1997-05-30 00:00:00")).cast("timestamp")
@@ -437,10 +488,16 @@ def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
             "da": discount_amount(discount, price).cast("decimal(38,8)"),
             "sa": sales_amount(price, discount, price),
             "tpc": (quantity * F.col("cost")).cast(MONEY),
+            "order": "l_orderkey",
+            "lane": F.floor(F.col("l_linenumber") / facts.LANE),
             "line": "l_linenumber",
         },
     )
-    return number_rows(named, ["son"], ["line", "pk"], "ln").drop("line")
+    lane = F.floor(F.col("l_linenumber") / facts.LANE)
+    long = split_groups(table(spark, sf, "lineitem"), "l_orderkey", lane).withColumnRenamed("l_orderkey", "order")
+    split = named.join(stored(long, "long-orders"), "order", "left_semi")
+    numbered = number_in_lanes(named, ["son"], ["order", "lane"], ["line", "pk"], "ln", split)
+    return numbered.drop("order", "lane", "line")
 
 
 def number_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -518,6 +575,9 @@ OPERATOR_QUERIES = {
         schema_report,
         merge_identity,
         merge_counts,
+        merge_feed,
+        merge_feed_applied,
+        merge_feed_counts,
         merge_null_keys,
         merge_null_safe_identity,
         merge_null_safe_duplicates,
@@ -533,6 +593,7 @@ OPERATOR_QUERIES = {
         history_join,
         dim_product,
         scd_range_join,
+        scd_as_of_join,
         version_overlap,
         fact_sales,
         number_events,

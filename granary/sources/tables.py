@@ -22,7 +22,15 @@ from pyspark.sql.types import StructType
 from granary.operators.checks import declare_checks, read_checks
 from granary.operators.identity import assign_identity
 from granary.operators.ordered import cluster_rows
-from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
+from granary.operators.sync import (
+    align_columns,
+    change_feed,
+    duplicate_keys,
+    key_changes,
+    row_digests,
+    sync_counts,
+    to_sink,
+)
 from granary.sources import files
 
 MARKER = "_PUBLISHED"
@@ -148,6 +156,10 @@ class VersionedTable:
         if self.retain:
             for number in self.versions()[: -self.retain]:
                 files.delete(self.spark, self.location(number))
+            kept = {str(n) for n in self.versions()}
+            for name in files.child_names(self.spark, self.path):
+                if name.startswith("digests-") and name.split("-")[1] not in kept:
+                    files.delete(self.spark, f"{self.path}/{name}")
 
     def register(
         self, schema: StructType, version: int, defaults: Mapping[str, str] | None = None
@@ -219,17 +231,51 @@ class VersionedTable:
 
     def changes(self, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
         """Inserted, updated and deleted rows between the last two published versions."""
+        current, earlier = self.last_two()
+        new = self.read(current)
+        old = self.read(earlier) if earlier is not None else new.limit(0)
+        return sync_counts(new, old, keys, null_safe)
+
+    def last_two(self) -> tuple[int, int | None]:
+        """The current version and the published one before it, if there is one."""
         current = self.version()
+        if current is None:
+            raise TableNotFound(self.name or self.path)
         earlier = [
-            n
-            for n in self.versions()
-            if current is not None
-            and n < current
-            and files.exists(self.spark, f"{self.location(n)}/{MARKER}")
+            n for n in self.versions() if n < current and files.exists(self.spark, f"{self.location(n)}/{MARKER}")
         ]
-        new = self.read(current)
-        old = self.read(earlier[-1]) if earlier else new.limit(0)
-        return sync_counts(new, old, keys, null_safe)
+        return current, earlier[-1] if earlier else None
+
+
+    def keep_digests(self, keys: Sequence[str], version: int | None = None) -> DataFrame:
+        """Keys and row digests of a version, worked out once and kept beside it."""
+        number = self.version() if version is None else version
+        if number is None:
+            raise TableNotFound(self.name or self.path)
+        path = f"{self.path}/digests-{number}-{'-'.join(keys)}"
+        if not files.exists(self.spark, f"{path}/_SUCCESS"):
+            digests = row_digests(self.read(number), keys)
+            digests.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        schema = row_digests(self.read(number).limit(0), keys).schema
+        return self.spark.read.schema(schema).parquet(path)
+
+    def feed(self, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+        """The rows that the last load inserted, changed and deleted; see :func:`change_feed`.
+
+        The digests of the older version are kept from the load before, so
+        only the new version is read for the comparison.
+        """
+        new, old = self.last_two()
+        was = self.keep_digests(keys, old) if old is not None else row_digests(self.read(new).limit(0), keys)
+        rows = self.read(new)
+        before = self.read(old) if old is not None else rows.limit(0)
+        return change_feed(rows, before, keys, null_safe, self.keep_digests(keys, new), was)
+
+    def key_changes(self, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+        """What became of each key with the last load, unchanged ones included."""
+        new, old = self.last_two()
+        now = self.keep_digests(keys, new)
+        return key_changes(now, now.limit(0) if old is None else self.keep_digests(keys, old), keys, null_safe)
 
 
 def same_columns(a: StructType, b: StructType) -> bool:

@@ -22,6 +22,12 @@ MT = """(SELECT row_number() OVER (ORDER BY c_custkey) k, c_custkey id, c_name n
 MS = "(SELECT c_custkey id, concat(c_name, '*') nm FROM customer WHERE c_acctbal >= 0)"
 
 SUPPLIERS = """SELECT CASE WHEN s_acctbal >= 1000 THEN s_suppkey END k, s_name n, s_nationkey, 1 here FROM supplier"""
+FEED_ROWS = """SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END k, o_custkey c, o_totalprice p,
+  o_orderpriority q, o_orderkey n FROM orders"""
+FEED_OLD = f"(SELECT * FROM ({FEED_ROWS}) r WHERE n % 13 <> 0)"
+FEED_NEW = f"""(SELECT k, c, CASE WHEN n % 5 = 0 THEN p + 1 ELSE p END p, CASE WHEN n % 7 <> 0 THEN q END q, n
+  FROM ({FEED_ROWS}) r WHERE n % 17 <> 0)"""
+
 NULL_KEY_COUNTS = """SELECT '{mode}' m, count(CASE WHEN t.here IS NULL THEN 1 END) inserted,
   count(CASE WHEN t.here IS NOT NULL AND s.here IS NOT NULL THEN 1 END) updated,
   count(CASE WHEN s.here IS NULL THEN 1 END) deleted
@@ -135,6 +141,25 @@ OPERATOR_ORACLES = {
           count(CASE WHEN t.id IS NOT NULL AND s.id IS NOT NULL THEN 1 END) updated,
           count(CASE WHEN s.id IS NULL THEN 1 END) deleted
         FROM {MS} s FULL JOIN {MT} t ON t.id = s.id""",
+    "merge_feed": f"""
+        SELECT s.k, s.c, s.p, s.q, s.n, CASE WHEN t.n IS NULL THEN 'inserted' ELSE 'changed' END change
+        FROM {FEED_NEW} s LEFT JOIN {FEED_OLD} t ON s.k = t.k AND s.n = t.n
+        WHERE t.n IS NULL OR s.p <> t.p OR s.q IS DISTINCT FROM t.q
+        UNION ALL
+        SELECT t.k, NULL, NULL, NULL, t.n, 'deleted'
+        FROM {FEED_OLD} t LEFT JOIN {FEED_NEW} s ON s.k = t.k AND s.n = t.n WHERE s.n IS NULL""",
+    "merge_feed_applied": f"SELECT * FROM {FEED_NEW} s",
+    "merge_feed_counts": f"""
+        WITH s AS (SELECT c, k, count(*) n, string_agg(concat_ws('|', p, coalesce(q, '-'), n), ';' ORDER BY n) r
+          FROM {FEED_NEW} a GROUP BY 1, 2), t AS (
+          SELECT c, k, count(*) n, string_agg(concat_ws('|', p, coalesce(q, '-'), n), ';' ORDER BY n) r
+          FROM {FEED_OLD} a GROUP BY 1, 2)
+        SELECT CASE WHEN t.n IS NULL THEN 'inserted' WHEN s.r = t.r THEN 'unchanged' ELSE 'changed' END change,
+          cast(sum(s.n) AS bigint) n
+        FROM s LEFT JOIN t ON s.c = t.c AND s.k = t.k GROUP BY 1
+        UNION ALL
+        SELECT 'deleted', cast(sum(t.n) AS bigint)
+        FROM t LEFT JOIN s ON s.c = t.c AND s.k = t.k WHERE s.n IS NULL""",
     "merge_null_keys": NULL_KEY_COUNTS.format(
         mode="plain", suppliers=SUPPLIERS, match="s.k = t.k AND s.n = t.n"
     )
@@ -210,6 +235,17 @@ OPERATOR_ORACLES = {
         SELECT l.l_orderkey, l.l_linenumber, v.pid, v.ver, v.cost
         FROM {LI} l JOIN orders o ON l.l_orderkey = o.o_orderkey
         LEFT JOIN {PV} v ON l.l_partkey = v.pid AND {VALID}""",
+    "scd_as_of_join": f"""
+        WITH lines AS (
+          SELECT l_orderkey, l_linenumber, l_partkey, cast(o_orderdate AS date) ordered
+          FROM {LI} l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        ), daily AS (
+          SELECT DISTINCT l_partkey part, ordered sd, CASE WHEN l_partkey % 10 <> 0 THEN
+            CASE WHEN day(ordered) % 2 = 0 THEN cast(ordered + interval 1 day AS date) ELSE ordered END END ed
+          FROM lines
+        )
+        SELECT l.*, sd, ed FROM lines l LEFT JOIN daily v
+          ON part = l_partkey AND ordered BETWEEN sd AND coalesce(ed, date '2002-01-01')""",
     "version_overlap": f"""
         WITH t AS (SELECT pid, ver, sd, CASE WHEN ver = 1 AND p_size < 20
           THEN timestamp '1997-05-30 00:00:00' ELSE ed END ed FROM {PV} z)

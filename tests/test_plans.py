@@ -101,8 +101,8 @@ def test_stored_lookups_decide_how_the_lines_join(spark, small, no_broadcast):
     gold = {n: layers.stored_lookup(n, spark, small) for n in facts.LOOKUPS}
     frames = layers.silver_frames(spark, small, facts.WAREHOUSE["FactInternetSales"].sources)
     placed = []
-    real = facts.number_lines
-    facts.number_lines = lambda df, *a: placed.append(df) or real(df, *a)
+    real = facts.number_in_lanes
+    facts.number_in_lanes = lambda df, *a: placed.append(df) or real(df, *a)
     try:
         for threshold, merges in (("10m", False), ("-1", True)):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -112,7 +112,23 @@ def test_stored_lookups_decide_how_the_lines_join(spark, small, no_broadcast):
                 assert (f"SortMergeJoin [{key}" in plan or f", {key}" in plan and "SortMergeJoin" in plan) == merges
                 assert ("hashpartitioning(ProductID" in plan) == merges
     finally:
-        facts.number_lines = real
+        facts.number_in_lanes = real
+
+
+def test_lines_are_numbered_where_the_header_join_leaves_them(spark, small):
+    """With lookups below the threshold and headers above it, joined lines are shuffled by order id only."""
+    from granary.plans import facts
+    from granary.queries import layers
+    from granary.session import stored
+
+    gold = {n: layers.stored_lookup(n, spark, small) for n in facts.LOOKUPS}
+    frames = layers.silver_frames(spark, small, facts.WAREHOUSE["FactInternetSales"].sources)
+    frames |= {n: stored(frames[n], n) for n in ("SalesOrderHeader", "SalesOrderDetail")}
+    # Many headers and few lookups: the headers count for more than the threshold, whatever their files do.
+    frames["SalesOrderHeader"] = frames["SalesOrderHeader"].hint("merge")
+    plan = plan_of(facts.fact_internet_sales(frames, gold, layers.AS_OF))
+    assert "rangepartitioning" not in plan and plan.count("Window") == 1
+    assert plan.count("Exchange hashpartitioning(SalesOrderID") == plan.count("Exchange hashpartitioning") == 2
 
 
 def test_silver_with_rejects_scans_once(spark, small):

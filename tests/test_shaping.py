@@ -48,6 +48,21 @@ def test_a_large_group_is_numbered_across_partitions(spark, rows):
     assert split.dtypes == plain.dtypes and rows(split) == rows(plain)
 
 
+def test_a_group_of_several_lanes_is_numbered_on(spark, rows):
+    lines = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, null, if(id % 3 = 1, 'hot', cast(id as string))) as o", "3000 - id as l", "id % 2 as i"
+    ).withColumn("lane", F.floor(F.col("l") / 500))
+    plain = lines.withColumn("n", F.row_number().over(Window.partitionBy("o").orderBy("l", "i")))
+    spans = ordered.split_groups(lines, "o", F.col("lane"))
+    assert rows(spans) == [("hot",), (None,)]
+    few = lines.filter("o = 'hot' or o is null")
+    for split in (None, few):
+        made = ordered.number_in_lanes(lines, ["o"], ["lane"], ["l", "i"], "n", split)
+        assert made.dtypes == plain.dtypes and rows(made) == rows(plain)
+    none = ordered.number_in_lanes(lines.filter("l < 0"), ["o"], ["lane"], ["l"], "n")
+    assert rows(none) == []
+
+
 def test_clustered_rows_are_sorted_in_every_partition(spark):
     parts = ordered.cluster_rows(spark.range(1000).selectExpr("1000 - id as k"), ["k"])
     frames = parts.select("k", F.spark_partition_id().alias("p")).collect()
