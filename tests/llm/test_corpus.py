@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from test_decontaminate import leaks_of
 from test_exact import brute
-from test_simhash import groups, plain_fingerprint
+from test_jaccard import first_of_each
 from tokenizers import Tokenizer
 
 from granary.llm import quality
@@ -36,7 +36,7 @@ def test_stages_equal_brute_force(llm):
     stay = {keep for _, keep, _, _ in brute(kept)}
     kept = [r for r in kept if r[0] in stay]
     assert rows_of(unique) == kept
-    kept = [r for r, g in zip(kept, groups([plain_fingerprint(t) for _, t in kept])) if kept[g] == r]
+    kept = sorted(first_of_each(kept))
     assert rows_of(apart) == kept
     items = [tuple(r) for r in table(llm, SF, "benchmark").select("item_id", "text").collect()]
     short = [r for r in kept if len(r[1]) < 8000]
