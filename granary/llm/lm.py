@@ -49,7 +49,6 @@ FLUSH_TOKENS = 2_000_000  # tokens that a task counts before it passes them on
 PAIR_BITS = 40  # of each word's hash in a pair
 START, END = 0x5EED << 48, 0xE4D << 48
 STEP = np.uint64(0x9E3779B97F4A7C15)
-MOST_SLICES = 1 << 16
 
 
 class Words(dict):
@@ -97,7 +96,19 @@ def slice_numbers(first: np.ndarray, keys: np.ndarray, frequent: np.ndarray, sli
     """The slice of each pair, from its first word or, where that is frequent, its key."""
     bits = slices.bit_length() - 1
     spread = among(first, frequent)
-    return np.where(spread, keys >> np.uint64(64 - bits), first >> np.uint64(PAIR_BITS - bits)).astype(np.int64)
+    numbers = np.where(spread, keys >> np.uint64(64 - bits), first >> np.uint64(PAIR_BITS - bits))
+    return numbers.astype(np.uint16 if slices <= 1 << 16 else np.uint32)  # short numbers are sorted faster
+
+
+def by_slice(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each slice's number and the places of its entries, in the order given."""
+    if not len(numbers):
+        return
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+    for start, end in zip(starts, [*starts[1:], len(order)]):
+        yield int(numbers[start]), order[start:end]
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -146,7 +157,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def pair_counts(texts: DataFrame, frequent: np.ndarray, slices: int) -> DataFrame:
-    """``slice, high, low, n``: the pairs that each task has counted."""
+    """``slice, high, low, n``: the pairs that each task has counted, as arrays of each slice.
+
+    Arrays cross the network as bytes, one row for a slice and some millions of
+    tokens, so neither side handles single pairs outside NumPy.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in flushes(batches):
@@ -155,21 +170,16 @@ def pair_counts(texts: DataFrame, frequent: np.ndarray, slices: int) -> DataFram
             high, low = pair_keys(short(befores(held)), short(np.concatenate(held)))
             keys = pair_hash(high, low)
             place, n = counted(keys)
-            high, low, keys = high[place], low[place], keys[place]
-            numbers = slice_numbers(high >> np.uint64(24), keys, frequent, slices)
-            for at in range(0, len(n), 200_000):
-                part = slice(at, at + 200_000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(numbers[part].astype(np.int32)),
-                        pa.array(high[part].view(np.int64)),
-                        pa.array(low[part].astype(np.int32)),
-                        pa.array(n[part].astype(np.int32)),
-                    ],
-                    names=["slice", "high", "low", "n"],
-                )
+            high, low, keys = high[place], low[place].astype("<u2"), keys[place]
+            numbers, arrays = [], ([], [], [])
+            for number, own in by_slice(slice_numbers(high >> np.uint64(24), keys, frequent, slices)):
+                numbers.append(number)
+                for out, values in zip(arrays, (high, low, n.astype("<i8"))):
+                    out.append(values[own].tobytes())
+            columns = [pa.array(numbers, pa.int32()), *[pa.array(out, pa.binary()) for out in arrays]]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "high", "low", "n"])
 
-    return texts.mapInArrow(count, "slice int, high bigint, low int, n int")
+    return texts.mapInArrow(count, "slice int, high binary, low binary, n binary")
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -217,7 +227,7 @@ def views(uri: str, layout: list[tuple[str, int]]) -> list[np.ndarray]:
 
 # What a slice file holds: pairs seen once, other pairs and their counts, first words and their totals
 # (all pairs, and pairs seen once, twice and more often).
-SLICE_LAYOUT = ("<u8", "<u8", "<u4", "<u8", "<u4", "<u4", "<u4", "<u4")
+SLICE_LAYOUT = ("<u8", "<u8", "<u8", "<u8", "<u8", "<u8", "<u8", "<u8")
 
 
 def context_totals(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -270,26 +280,15 @@ def write_slices(pairs: DataFrame, folder: str, frequent: np.ndarray, slices: in
         yield rows(2, np.array([number]), [], path, notes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [
-            (
-                batch.column("slice").to_numpy().astype(np.uint16),
-                batch.column("high").to_numpy().view(np.uint64),
-                batch.column("low").to_numpy().astype(np.uint16),
-                batch.column("n").to_numpy(),
-            )
-            for batch in batches
-            if batch.num_rows
-        ]
-        if not held:
-            return
-        numbers, high, low, n = (np.concatenate(c) for c in zip(*held))
-        del held
-        order = np.argsort(numbers, kind="stable")
-        ends = np.cumsum(np.bincount(numbers, minlength=slices))
-        for number, (start, end) in enumerate(zip([0, *ends[:-1]], ends)):
-            if end > start:
-                own = order[start:end]
-                yield from close(number, high[own], low[own].astype(np.uint64), n[own].astype(np.int64))
+        held: dict[int, list[tuple[bytes, ...]]] = {}
+        for batch in batches:
+            parts = zip(*(batch.column(c).to_pylist() for c in ("high", "low", "n")))
+            for number, part in zip(batch.column("slice").to_pylist(), parts):
+                held.setdefault(number, []).append(part)
+        for number in list(held):
+            high, low, n = (b"".join(c) for c in zip(*held.pop(number)))
+            low = np.frombuffer(low, "<u2").astype(np.uint64)
+            yield from close(number, np.frombuffer(high, "<u8"), low, np.frombuffer(n, "<i8"))
 
     written = pairs.repartition("slice").mapInArrow(
         write,
@@ -366,7 +365,7 @@ class Model:
         tokens = np.concatenate(texts)
         word, back = np.unique(tokens, return_inverse=True)
         seen = self.search(self.word_files, "<u8", word)
-        second = self.search(self.second_files, "<u4", short(word))
+        second = self.search(self.second_files, "<u8", short(word))
         share = self.word_share / (self.words + 1)
         d = self.word_discounts[np.minimum(second, 3)]
         below = (np.maximum(second - d, 0) / self.pairs + share) if self.pairs else np.full(len(word), share)
@@ -374,14 +373,9 @@ class Model:
         # Each different pair once, in the order of the keys, as the arrays are.
         keys, place, pair = np.unique(pair_hash(high, low), return_index=True, return_inverse=True)
         first, p = high[place] >> np.uint64(24), below[back[place]]
-        numbers = slice_numbers(first, keys, self.frequent, self.slice_count).astype(np.uint16)
-        order = np.argsort(numbers, kind="stable")
-        numbers = numbers[order]
         n, totals = np.zeros(len(p), dtype=np.int64), np.zeros((4, len(p)), dtype=np.int64)
-        starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
-        for start, end in zip(starts, [*starts[1:], len(order)]):
-            if found := self.slices.get(int(numbers[start])):
-                own = order[start:end]
+        for number, own in by_slice(slice_numbers(first, keys, self.frequent, self.slice_count)):
+            if found := self.slices.get(number):
                 once, more, times, contexts, *known = views(*found)
                 n[own] = at_keys(more, times, keys[own]) + at_keys(once, None, keys[own])
                 gather(totals, own, first[own], contexts, known)
@@ -414,7 +408,7 @@ def at_keys(known: np.ndarray, values: np.ndarray | None, keys: np.ndarray) -> n
 def slice_count(spark: SparkSession) -> int:
     """A power of two, a few times the shuffle partitions, and so in step with the data they are set for."""
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_SLICES, 1 << max(4, (wanted - 1).bit_length()))
+    return 1 << max(4, (wanted - 1).bit_length())
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -451,7 +445,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         frequent=totals["word"].to_numpy().astype(np.uint64),
         frequent_totals=[totals[c].to_numpy() for c in "abcd"],
         word_files=write_words(words, folder, {"n": "<u8"}, "words"),
-        second_files=write_words(second, folder, {"kinds": "<u4"}, "seconds"),
+        second_files=write_words(second, folder, {"kinds": "<u8"}, "seconds"),
     )
 
 
