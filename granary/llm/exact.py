@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import no_join_names, plain_names, stored, whole_text, with_names
+from granary.session import scratch_path, scratch_scope
 
 BLOCK_CHARS = 8192
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 ROW, DOC, CHARS, SHA, SIZE, MARKS = "_row", "_doc", "_chars", "_sha", "_blocks", "_marks"
+NUMBER = "_number"  # of a row whose other columns stay behind
 
 
 def normalised(text: str) -> Column:
@@ -147,7 +149,17 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns.
+
+    Groups are formed without the other columns; the stored rows only lose the
+    numbers of those that go. What is stored on the way is removed.
+    """
+    spark = docs.sparkSession
     plain, names = plain_names(docs)
-    groups = exact_groups(plain, names[doc_id], names[text], carry=list(names.values()))
-    return with_names(groups.filter("kept"), names)
+    rows = stored(plain.withColumn(NUMBER, F.monotonically_increasing_id()), "numbered")
+    gone = scratch_path(spark, "copies")
+    with scratch_scope(spark):
+        groups = exact_groups(rows, names[doc_id], names[text], carry=[NUMBER])
+        groups.filter(~F.col("kept")).select(NUMBER).write.parquet(gone)
+    copies = spark.read.schema(f"{NUMBER} bigint").parquet(gone)
+    return with_names(rows.join(copies, NUMBER, "left_anti"), names)
