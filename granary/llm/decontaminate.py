@@ -10,20 +10,24 @@ Bloom filter of those hashes, of a fixed size, which lets through little more
 than real hits. Hits are joined with the test seeds by hash, and around each
 hit the two token sequences are compared along the diagonal: a text leaks an
 item if ``WINDOW`` aligned tokens in a row have at most ``SUBSTITUTIONS``
-differences. An item of fewer tokens, eight at least, has to be there whole,
-with the same share of differences.
+differences. An item of fewer tokens has to be there whole, with the same
+share of differences. An item of fewer than eight tokens has one seed, which
+covers all of it, and has to be there word for word.
 
 Tokens are words in lower case; punctuation and white space play no part.
 
-Edge cases: NULL texts and items have no tokens, items of fewer than eight
-tokens are never found, equal items are all reported, and an empty benchmark
-finds nothing. Rows are told apart by ``key``, which must not repeat.
+Edge cases: NULL texts and items have no tokens and are never found, equal
+items are all reported, and an empty benchmark finds nothing. Rows are told
+apart by a number of their own, so keys may be NULL or repeat.
+
+A seed that many items and many texts share gives a comparison for each two of
+them; the join splits such a seed, but does not leave any of them out.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,6 +40,7 @@ from granary.llm.common import forget_half, plain_names, stored, whole_text, wit
 
 MASKS = ("11111", "110101001", "1010011")
 WINDOW, SUBSTITUTIONS, LEAST_TOKENS = 13, 3, 8
+WHOLE = 100  # a seed of a whole item of n tokens has the number WHOLE + n
 FILTER_BITS = 27  # 16 MB, whatever the size of the benchmark
 TOKEN = re.compile(r"\w+")
 KNOWN_TOKENS = 400_000
@@ -43,8 +48,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def allowed(aligned: int) -> int:
-    """Differences that a stretch of so many tokens may have."""
-    return SUBSTITUTIONS * min(aligned, WINDOW) // WINDOW
+    """Differences that a stretch of so many tokens may have; a short item may have none."""
+    return 0 if aligned < LEAST_TOKENS else SUBSTITUTIONS * min(aligned, WINDOW) // WINDOW
 
 
 class TokenHashes:
@@ -61,18 +66,18 @@ class TokenHashes:
         return np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
 
 
-def seeds_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of all seeds of a token sequence."""
+def seeds_of(tokens: np.ndarray, short: Iterable[int] = (), masks: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of all seeds of a token sequence: those of the masks, and stretches of ``short`` tokens."""
+    kinds = [(k + 1, [o for o, one in enumerate(mask) if one == "1"]) for k, mask in enumerate(MASKS)] if masks else []
     places, hashes = [], []
-    for number, mask in enumerate(MASKS):
-        n = len(tokens) - len(mask) + 1
+    for number, offsets in [*kinds, *((WHOLE + n, range(n)) for n in short)]:
+        n = len(tokens) - offsets[-1]
         if n <= 0:
             continue
-        total = np.full(n, number + 1, dtype=np.uint64)
-        for offset, one in enumerate(mask):
-            if one == "1":
-                total = (total ^ tokens[offset : offset + n]) * STEP
-                total ^= total >> np.uint64(31)
+        total = np.full(n, number, dtype=np.uint64)
+        for offset in offsets:
+            total = (total ^ tokens[offset : offset + n]) * STEP
+            total ^= total >> np.uint64(31)
         places.append(np.arange(n))
         hashes.append(total)
     if not places:
@@ -80,6 +85,12 @@ def seeds_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def seeds_of_item(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All seeds of the masks, or the one seed of a short item."""
+    is_short = len(tokens) < LEAST_TOKENS
+    return seeds_of(tokens, [len(tokens)] if is_short else [], masks=not is_short)
+
+
 def test_seeds(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Stored tables of the items' tokens and of their seeds."""
 
@@ -95,7 +106,7 @@ def test_seeds(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, Da
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, tokens in zip(batch.column("number").to_pylist(), batch.column("item_tokens").to_pylist()):
-                places, hashes = seeds_of(np.array(tokens, dtype=np.int64).view(np.uint64))
+                places, hashes = seeds_of_item(np.array(tokens, dtype=np.int64).view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(hashes.view(np.int64)),
@@ -108,7 +119,7 @@ def test_seeds(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, Da
     kind = items.schema[item_id].dataType.simpleString()
     source = items.select(F.col(f"`{item_id}`").alias("item"), whole_text(text).alias("text"))
     tokens = source.mapInArrow(cut, f"item {kind}, item_tokens array<bigint>")
-    usable = tokens.filter(F.size("item_tokens") >= LEAST_TOKENS)
+    usable = tokens.filter(F.size("item_tokens") > 0)
     numbered = stored(usable.withColumn("number", F.monotonically_increasing_id()), "items")
     seeds = numbered.select("number", "item_tokens").mapInArrow(seed, "seed bigint, number bigint, item_at int")
     return numbered, stored(seeds, "seeds")
@@ -146,10 +157,18 @@ def passes(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return first[(bloom[two >> 3] >> (two & 7) & 1).astype(bool)]
 
 
-def hit_regions(spark: SparkSession, docs: DataFrame, bloom: np.ndarray, key: str, text: str) -> DataFrame:
-    """Stretches of tokens around hits: ``key, region, tokens, hits`` with places inside the stretch.
+def short_lengths(items: DataFrame) -> list[int]:
+    """Lengths of the short items, ``LEAST_TOKENS`` of them at most."""
+    size = F.size("item_tokens")
+    return sorted(r[0] for r in items.filter(size < LEAST_TOKENS).select(size).distinct().collect())
+
+
+def hit_regions(
+    spark: SparkSession, docs: DataFrame, bloom: np.ndarray, short: list[int], key: str, text: str
+) -> DataFrame:
+    """Stretches of tokens around hits: ``row, key, region, tokens, hits`` with places inside the stretch.
 
-    Hits less than two windows apart share a stretch, so whatever lies on a
+    ``row`` numbers the rows of ``docs``. Hits less than two windows apart share a stretch, so whatever lies on a
     leak's diagonal is in one.
     """
     shipped = spark.sparkContext.broadcast(bloom)
@@ -160,7 +179,7 @@ def hit_regions(spark: SparkSession, docs: DataFrame, bloom: np.ndarray, key: st
             owners, regions, stretches, places, seeds = [], [], [], [], []
             for i, text_of in enumerate(batch.column("text").to_pylist()):
                 tokens = hashes.of(text_of)
-                at, found = seeds_of(tokens)
+                at, found = seeds_of(tokens, short)
                 hit = passes(shipped.value, found)
                 if not len(hit):
                     continue
@@ -175,18 +194,20 @@ def hit_regions(spark: SparkSession, docs: DataFrame, bloom: np.ndarray, key: st
                     seeds.append(found[own].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("row").take(pa.array(owners, pa.int64())),
                     batch.column("key").take(pa.array(owners, pa.int64())),
                     pa.array(regions, pa.int32()),
                     pa.array(stretches, pa.list_(pa.int64())),
                     pa.array(places, pa.list_(pa.int32())),
                     pa.array(seeds, pa.list_(pa.int64())),
                 ],
-                names=["key", "region", "tokens", "places", "seeds"],
+                names=["row", "key", "region", "tokens", "places", "seeds"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(f"`{key}`").alias("key"), whole_text(text).alias("text"))
-    schema = f"key {kind}, region int, tokens array<bigint>, places array<int>, seeds array<bigint>"
+    row = F.monotonically_increasing_id().alias("row")
+    source = docs.select(row, F.col(f"`{key}`").alias("key"), whole_text(text).alias("text"))
+    schema = f"row bigint, key {kind}, region int, tokens array<bigint>, places array<int>, seeds array<bigint>"
     return stored(source.mapInArrow(scan, schema), "regions")
 
 
@@ -215,12 +236,12 @@ def leaks(
 ) -> DataFrame:
     """One row per leaking row and item: ``key, item, token_at, aligned, matched``, of its best diagonal."""
     numbered, seeds = test_seeds(items, item_id, item_text)
-    regions = hit_regions(docs.sparkSession, docs, seed_filter(seeds), key, text)
-    hits = regions.select("key", "region", F.explode(F.arrays_zip("places", "seeds")).alias("hit")).select(
-        "key", "region", F.col("hit.places").alias("at"), F.col("hit.seeds").alias("seed")
+    regions = hit_regions(docs.sparkSession, docs, seed_filter(seeds), short_lengths(numbered), key, text)
+    hits = regions.select("row", "region", F.explode(F.arrays_zip("places", "seeds")).alias("hit")).select(
+        "row", "region", F.col("hit.places").alias("at"), F.col("hit.seeds").alias("seed")
     )
     diagonals = (
-        hits.join(seeds, "seed").select("key", "region", "number", (F.col("at") - F.col("item_at")).alias("diagonal"))
+        hits.join(seeds, "seed").select("row", "region", "number", (F.col("at") - F.col("item_at")).alias("diagonal"))
     ).distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,24 +257,24 @@ def leaks(
             taken = pa.array(table["i"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key").take(taken),
-                    batch.column("item").take(taken),
+                    *[batch.column(c).take(taken) for c in ("row", "key", "number", "item")],
                     *[pa.array(table[c]) for c in ("token_at", "aligned", "matched")],
                 ],
-                names=["key", "item", "token_at", "aligned", "matched"],
+                names=["row", "key", "number", "item", "token_at", "aligned", "matched"],
             )
 
     pairs = (
-        diagonals.join(regions.select("key", "region", "tokens"), ["key", "region"])
+        diagonals.join(regions.select("row", "key", "region", "tokens"), ["row", "region"])
         .join(numbered, "number")
-        .select("key", "region", "tokens", "item", "item_tokens", "diagonal")
+        .select("row", "key", "region", "tokens", "number", "item", "item_tokens", "diagonal")
     )
     kinds = docs.schema[key].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     checked = pairs.mapInArrow(
-        verify, f"key {kinds[0]}, item {kinds[1]}, token_at bigint, aligned bigint, matched bigint"
+        verify, f"row bigint, key {kinds[0]}, number bigint, item {kinds[1]}, token_at bigint, aligned bigint, matched bigint"
     )
     best = F.max(F.struct("matched", -F.col("aligned"), -F.col("token_at"))).alias("best")
-    return checked.groupBy("key", "item").agg(best).select(
+    own = [F.any_value(c).alias(c) for c in ("key", "item")]
+    return checked.groupBy("row", "number").agg(best, *own).select(
         "key",
         "item",
         (-F.col("best.col3")).alias("token_at"),
