@@ -25,8 +25,9 @@ def labelled_sample(
 
     Documents of the held-out fold are left out. The sample is the rows whose
     hashed ids come first, so it is the same in each run. A document labelled
-    more than once counts with its highest label; rows without label or id are
-    left out. The chosen ids, 2 x ``per_class`` at most, are broadcast.
+    more than once counts with its highest label, and of rows with one id one is
+    taken, whatever their number; rows without label or id are left out. The
+    chosen ids, 2 x ``per_class`` at most, are broadcast.
     """
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y"))
@@ -39,7 +40,9 @@ def labelled_sample(
     chosen = [present.filter(F.col("y") == y).orderBy(rank, "doc_id").limit(per_class) for y in (0, 1)]
     rows = chosen[0].unionByName(chosen[1]).select("doc_id", "y", F.pmod(rank, F.lit(2)).cast("int").alias("half"))
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole_text(text).alias("text"))
-    return texts.join(F.broadcast(rows), "doc_id").select("y", "half", "text")
+    # One row per id, combined in each task, so that what is collected later is bounded as said.
+    chosen_texts = texts.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "y", "half").agg(F.min("text").alias("text"))
+    return chosen_texts.select("y", "half", "text")
 
 
 def fit_logistic(features: np.ndarray, y: np.ndarray, ridge: float = 1e-2, balanced: bool = True) -> np.ndarray:

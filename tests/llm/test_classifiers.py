@@ -28,6 +28,14 @@ def test_sample_is_bounded_and_never_held_out(docs):
     assert next(r.y for r in kept if r.text == "text 0") == 1
 
 
+def test_one_id_of_very_many_rows_counts_once(docs):
+    rows = [(i, f"text {i}") for i in range(40)] + [(1, f"again {k}") for k in range(500)]
+    labels = docs([(i, i % 2, 0) for i in range(40)], LABELS)
+    sample = labelled_sample(docs(rows), labels, "quality", 4, 2, 1000).collect()
+    held = docs(rows).filter(fold(F.col("doc_id"), 4) == 2).select("doc_id").distinct().count()
+    assert len(sample) == 40 - held and sum(r.text.startswith("again") for r in sample) <= 1
+
+
 @pytest.mark.parametrize("module,call", [(quality, quality.quality), (toxicity, toxicity.toxicity)])
 def test_odd_rows_without_labels_and_empty_tables(docs, odd_rows, module, call):
     none = labelled_sample(docs(odd_rows), docs([], LABELS), "toxic", 5, 0, 10)
