@@ -41,6 +41,35 @@ def quarantine(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     return held.withColumn(FAILED, failed_checks(checks))
 
 
+def check_counts(checked: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One row per check: ``check_name, failed`` and the lowest and highest failing key as examples.
+
+    ``checked`` has the names of each row's failed checks. All checks are
+    counted in one aggregate, which is combined before the shuffle; a check
+    that no row fails has a row too.
+    """
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    sums: list[Column] = []
+    for i, name in enumerate(names):
+        fails = F.array_contains(FAILED, name)
+        found = F.when(fails, key)
+        sums += [F.count_if(fails).alias(f"n{i}"), F.min(found).alias(f"low{i}"), F.max(found).alias(f"high{i}")]
+    entries = [
+        F.struct(F.lit(n).alias("check_name"), F.col(f"n{i}").alias("failed"), F.col(f"low{i}").alias("low"),
+                 F.col(f"high{i}").alias("high"))
+        for i, n in enumerate(names)
+    ]
+    found = checked.agg(*sums).select(F.inline(F.array(*entries)))
+    ends = [F.col(f"{end}.{k}").alias(f"{side}_{k}") for side, end in (("first", "low"), ("last", "high")) for k in keys]
+    return found.select("check_name", "failed", *ends)
+
+
+def observed_checks(names: Sequence[str]) -> list[Column]:
+    """The rows of a checked frame, those that fail any check and those that fail each, to be observed as it is written."""
+    each = [F.count_if(F.array_contains(FAILED, n)).alias(f"failed_{i}") for i, n in enumerate(names)]
+    return [F.count(F.lit(1)).alias("checked"), F.count_if(F.size(FAILED) > 0).alias("rows"), *each]
+
+
 def missing_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Missing values per required column, counted in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])

@@ -12,15 +12,14 @@ from typing import Any
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
-from granary.operators.checks import FAILED, declare_checks, read_checks
+from granary.operators.checks import declare_checks, observed_checks, read_checks
 from granary.operators.fills import AsOf
 from granary.operators.history import overlapping_versions
 from granary.plans import dimensions, facts, silver
 from granary.registry import WAREHOUSE, SourceTable, active_sources, source
 from granary.session import scratch_scope, stored
-from granary.sources.landing import extract, read_landing, write_landing
+from granary.sources.landing import extract, extract_ranges, read_landing, write_landing
 from granary.sources.tables import RuleViolation, VersionedTable, create_layers
 
 
@@ -87,11 +86,10 @@ class Warehouse:
         return {name: self.silver(source(name)).read() for name in names}
 
     def land(self, table: SourceTable, connection: Mapping[str, str], partitions: int = 64) -> str:
-        """Extract one table over JDBC into the landing zone, in ranges of a numeric first key."""
-        first_key = table.struct[table.keys[0]]
-        numeric = isinstance(first_key.dataType, IntegralType)
-        rows = extract(self.spark, table, connection, first_key.name if numeric else None, partitions)
-        return write_landing(rows, self.landing, table)
+        """Extract one table over JDBC into the landing zone, in parts of equal size along its key."""
+        if partitions == 1:
+            return write_landing(extract(self.spark, table, connection), self.landing, table)
+        return write_landing(extract_ranges(self.spark, table, connection, partitions), self.landing, table)
 
     def land_all(self, connection: Mapping[str, str], partitions: int = 64) -> None:
         self._side_by_side(partial(self.land, t, connection, partitions) for t in active_sources())
@@ -120,9 +118,12 @@ class Warehouse:
         rules, target, held = self.rules(table), self.silver(table), Observation()
         with scratch_scope(self.spark):
             checked = silver.check_rows(self.bronze(table).read(), table, self.as_of, rules)
+            notes: dict[str, Any] = {}
             if rules:
-                failing = F.count_if(F.size(FAILED) > 0).alias("rows")
-                checked = stored(checked.observe(held, failing), "checked")
+                checked = stored(checked.observe(held, *observed_checks(list(rules))), "checked")
+                counts = held.get
+                failed = {name: counts[f"failed_{i}"] for i, name in enumerate(rules)}
+                notes = {"checked": counts["checked"], "quarantined": counts["rows"], "failed": failed}
             cleaned = silver.split(checked, table, self.wide_ids)
             version = target.sync(
                 cleaned.accepted,
@@ -131,6 +132,7 @@ class Warehouse:
                 required=table.required,
                 keys_unique=True,
                 defaults=table.defaults,
+                notes=notes,
             )
             if rules:
                 declare_checks(self.spark, target.name, rules)
@@ -205,6 +207,20 @@ class Warehouse:
         if "FactInternetSalesReason" in active:
             self.load_sales_reasons()
 
+    def check_report(self) -> DataFrame:
+        """What the last load of each silver table checked: one row per table and check, from the tables' notes.
+
+        ``table_name, check_name, failed`` and the table's rows ``checked``
+        (after deduplication), ``accepted`` and ``quarantined``.
+        """
+        rows = []
+        for table in active_sources():
+            noted = self.silver(table).notes()
+            for name, failed in noted.get("failed", {}).items():
+                rows.append((table.full_name, name, failed, noted["checked"], noted["rows"], noted["quarantined"]))
+        columns = "table_name string, check_name string, failed bigint, checked bigint, accepted bigint, quarantined bigint"
+        return self.spark.createDataFrame(rows, columns)
+
     def drop_catalog(self) -> None:
         """Remove the layers' catalog entries; with the built-in catalog their folders go as well."""
         for layer in ("gold", "silver", "bronze"):

@@ -196,6 +196,18 @@ def load_stored_check(spark: SparkSession, sf: str) -> DataFrame:
     return report
 
 
+def load_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Load bronze and silver of all tables that have checks, and report what each check has found."""
+    house = _house(spark, "checks")
+    tables = [source(t.name) for t in SOURCES.values() if t.checks]
+    together(spark, [partial(_land, house, t.full_name, partial(operational, spark, sf, t.full_name)) for t in tables])
+    together(spark, [partial(house.load_bronze, t) for t in tables])
+    together(spark, [partial(house.load_silver, t) for t in tables])
+    report = stored(house.check_report(), "report")
+    house.drop_catalog()
+    return report
+
+
 def _rerun_report(house: Warehouse, name: str) -> DataFrame:
     spec, kept = WAREHOUSE[name], house.gold(name)
     first, second = kept.read(kept.version() - 1), kept.read()
@@ -229,4 +241,5 @@ LAYER_QUERIES: dict[str, Query] = {
     "load_twice": load_twice,
     "load_changed": load_changed,
     "load_stored_check": load_stored_check,
+    "load_checks": load_checks,
 }

@@ -144,6 +144,13 @@ def checks_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return held.select("l_orderkey", "l_linenumber", "qty", "l_shipdate", "o_orderdate", names)
 
 
+def checks_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that fail each check, with the first and last key; no row fails the last one."""
+    rules = LINE_CHECKS | {"order_date": "o_orderdate IS NOT NULL"}
+    checked = _lines_to_check(spark, sf).withColumn(checks.FAILED, checks.failed_checks(rules))
+    return checks.check_counts(checked, list(rules), ["l_orderkey", "l_linenumber"])
+
+
 def required_columns(spark: SparkSession, sf: str) -> DataFrame:
     gaps = table(spark, sf, "lineitem").select(
         F.nullif("l_quantity", F.lit(1.0)).alias("l_quantity"),
@@ -570,6 +577,7 @@ OPERATOR_QUERIES = {
         checks_accept,
         checks_reject_false,
         checks_quarantine,
+        checks_counts,
         required_columns,
         cast_to_schema,
         schema_report,

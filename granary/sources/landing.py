@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +64,78 @@ def extract(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def boundary_query(table: SourceTable, keys: Sequence[str], partitions: int) -> str:
+    """SQL for the keys that begin each of so many parts of equal size, but the first; in the database's own order.
+
+    The database numbers its keys, which an index on them serves, and returns
+    one row per part. Text keys are compared by its collation, whatever that
+    is, so the parts neither overlap nor leave a row out.
+    """
+    names = ", ".join(keys)
+    return (
+        f"SELECT {names} FROM (SELECT {names}, ROW_NUMBER() OVER (ORDER BY {names}) AS place, "
+        f"COUNT(*) OVER () AS total FROM {table.schema}.{table.name} WHERE {_all_there(keys)}) numbered "
+        f"WHERE place > 1 AND (place - 1) * {partitions} % total < {partitions} ORDER BY {names}"
+    )
+
+
+def _all_there(keys: Sequence[str]) -> str:
+    return " AND ".join(f"{k} IS NOT NULL" for k in keys)
+
+
+def sql_literal(value: Any) -> str:
+    """A key value as ANSI SQL."""
+    if isinstance(value, bool):
+        return "1" if value else "0"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP)"
+    if isinstance(value, date):
+        return f"CAST('{value.isoformat()}' AS DATE)"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def _from_on(keys: Sequence[str], values: Sequence[Any]) -> str:
+    """TRUE for keys that are not below ``values``, compared part by part."""
+    terms = []
+    for n, (key, value) in enumerate(zip(keys, values)):
+        same = [f"{k} = {sql_literal(v)}" for k, v in zip(keys[:n], values[:n])]
+        last = ">=" if n == len(keys) - 1 else ">"
+        terms.append(" AND ".join([*same, f"{key} {last} {sql_literal(value)}"]))
+    return "(" + " OR ".join(f"({t})" for t in terms) + ")"
+
+
+def range_predicates(keys: Sequence[str], starts: Sequence[Sequence[Any]]) -> list[str]:
+    """One condition per part: each row meets exactly one, rows with a NULL in their key the last one.
+
+    ``starts`` are the first keys of the second and later parts, in order.
+    Keys that repeat begin one part.
+    """
+    cuts = [_from_on(keys, s) for s in dict.fromkeys(map(tuple, starts))]
+    there = _all_there(keys)
+    parts = [" AND ".join([there, *([low] if low else []), *([f"NOT {high}"] if high else [])])
+             for low, high in zip([None, *cuts], [*cuts, None])]
+    return [*parts, f"NOT ({there})"]
+
+
+def extract_ranges(
+    spark: SparkSession, table: SourceTable, connection: Mapping[str, str], partitions: int
+) -> DataFrame:
+    """Read a whole table over JDBC in parts of equal size along its key, of whatever type and number of columns.
+
+    One task reads one part, so a text key, a composite or a sparse one is as
+    parallel as a dense number. What is collected is one key per part.
+    """
+    query = boundary_query(table, table.keys, partitions)
+    starts = spark.read.format("jdbc").options(**connection, query=query).load().collect()
+    named = f"({extract_query(table)}) extract"
+    options = {"fetchsize": "10000", **connection}
+    return spark.read.jdbc(
+        options.pop("url"), named, predicates=range_predicates(table.keys, starts), properties=options
+    )
+
+
 def write_landing(df: DataFrame, root: str, table: SourceTable) -> str:
     """Replace the landed files of a table with snappy Parquet."""
     path = landing_path(root, table)

@@ -195,20 +195,22 @@ class VersionedTable:
         keys_unique: bool = False,
         defaults: Mapping[str, str] | None = None,
         audit: Callable[[DataFrame], DataFrame] | None = None,
+        notes: Mapping[str, Any] | None = None,
     ) -> int:
         """Full-sync merge of ``source`` into the table; see :mod:`granary.operators.sync`.
 
         ``keys_unique`` says that the plan behind ``source`` already yields one
-        row per key, which saves the duplicate check.
+        row per key, which saves the duplicate check. ``notes`` are kept with
+        the version.
         """
         rows = to_sink(source, schema, (identity,) if identity else ())
-        notes: dict[str, Any] = {}
+        notes = dict(notes or {})
         if identity:
             old = self.read() if self.exists() else None
             rows, highest = assign_identity(
                 rows, old, keys, identity, self.highest(identity, old), null_safe
             )
-            rows, notes = rows.select(*schema.names), {"highest": highest}
+            rows, notes = rows.select(*schema.names), notes | {"highest": highest}
         unique = () if keys_unique else keys
         return self.publish(rows, required, unique, notes, defaults, schema, null_safe, keys, audit)
 

@@ -287,6 +287,27 @@ LAYER_ORACLES["load_twice"] = " UNION ALL ".join(
 )
 
 
+
+def check_counts(name: str) -> str:
+    """What each check of a table has found."""
+    names = ", ".join(f"'{c}'" for c in SOURCES[name].checks)
+    return f"""SELECT '{name}' AS table_name, c AS check_name,
+      (SELECT count(*) FROM {name}_held q WHERE list_contains(string_split(failed, ','), c)) AS failed,
+      (SELECT count(*) FROM {name}_held) + (SELECT count(*) FROM {name}_kept) AS checked,
+      (SELECT count(*) FROM {name}_kept) AS accepted, (SELECT count(*) FROM {name}_held) AS quarantined
+    FROM (SELECT unnest([{names}]) AS c) checks"""
+
+
+CHECKED_TABLES = [n for n, t in SOURCES.items() if t.checks]
+LAYER_ORACLES["load_checks"] = (
+    "WITH "
+    + ", ".join(
+        f"{n}_held AS MATERIALIZED ({quarantine(n)}), {n}_kept AS MATERIALIZED ({silver(n)})" for n in CHECKED_TABLES
+    )
+    + " "
+    + " UNION ALL ".join(check_counts(n) for n in CHECKED_TABLES)
+)
+
 # The source some time later.
 LATER = "timestamp '2001-02-01 00:00:00'"
 CHANGED = FEEDS | {

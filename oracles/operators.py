@@ -118,6 +118,16 @@ OPERATOR_ORACLES = {
         SELECT *, concat_ws(',', CASE WHEN coalesce(qty >= 0, false) THEN NULL ELSE 'quantity' END,
           CASE WHEN coalesce(l_shipdate >= o_orderdate, false) THEN NULL ELSE 'ship_date' END) failed
         FROM {CHECKED} x WHERE coalesce({PASSES}, false) = false""",
+    "checks_counts": f"""
+        WITH c AS (SELECT l_orderkey, l_linenumber, unnest([
+            CASE WHEN coalesce(qty >= 0, false) THEN NULL ELSE 'quantity' END,
+            CASE WHEN coalesce(l_shipdate >= o_orderdate, false) THEN NULL ELSE 'ship_date' END,
+            CASE WHEN o_orderdate IS NOT NULL THEN NULL ELSE 'order_date' END]) name FROM {CHECKED} x)
+        SELECT a.n check_name, count(name) failed,
+          min(spot).k first_l_orderkey, min(spot).n first_l_linenumber, max(spot).k last_l_orderkey, max(spot).n last_l_linenumber
+        FROM (SELECT unnest(['quantity', 'ship_date', 'order_date']) n) a LEFT JOIN
+          (SELECT name, {{'k': l_orderkey, 'n': l_linenumber}} spot FROM c WHERE name IS NOT NULL) b ON a.n = name
+        GROUP BY a.n""",
     "required_columns": """
         SELECT 'l_quantity' AS "column", count(*) - count(nullif(l_quantity, 1.0)) missing FROM lineitem
         UNION ALL

@@ -53,3 +53,16 @@ def test_stored_checks(spark, tmp_path):
     assert checks.declare_checks(spark, name, rules | {"new": "n < 9"}) == ["new"]
     assert checks.read_checks(spark, name) == rules | {"new": "n < 9"}
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_counts_per_check_with_examples(frame, rows):
+    rules = {"a": "x > 0", "b": "y IS NOT NULL", "c": "true"}
+    df = frame([(1, -1, 1), (2, None, None), (3, 5, 2), (None, 0, 1)], "k int, x int, y int")
+    checked = df.withColumn(checks.FAILED, checks.failed_checks(rules))
+    found = checks.check_counts(checked, list(rules), ["k"])
+    assert rows(found) == [("a", 3, None, 2), ("b", 1, 2, 2), ("c", 0, None, None)]
+    assert found.columns == ["check_name", "failed", "first_k", "last_k"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_min" in plan
+    none = checks.check_counts(checked.limit(0), list(rules), ["k"])
+    assert {r.failed for r in none.collect()} == {0}

@@ -1,12 +1,25 @@
 """Landing, the extract options, and the whole load on derived tables."""
 
+import datetime as dt
+from collections import Counter
+
+import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from granary.operators.checks import read_checks
 from granary.plans.pipeline import Warehouse
 from granary.queries.storefront import unique_rows
-from granary.registry import SOURCES, WAREHOUSE, source
-from granary.sources.landing import extract_query, jdbc_options, read_landing, write_landing
+from granary.registry import SOURCES, WAREHOUSE, SourceTable, source
+from granary.sources.landing import (
+    boundary_query,
+    extract_query,
+    jdbc_options,
+    range_predicates,
+    read_landing,
+    write_landing,
+)
 from granary.sources.tables import RuleViolation, table_ddl
 
 
@@ -25,6 +38,44 @@ def test_extract_options():
     )
 
 
+KEYS = st.tuples(st.sampled_from(["a", "A", "b'c", "ba", "", "é"]), st.integers(-3, 3) | st.just(1 << 40), st.dates(
+    dt.date(2020, 1, 1), dt.date(2020, 1, 4)))
+
+
+@settings(max_examples=40, deadline=None)
+@given(rows=st.lists(KEYS, max_size=60), nulls=st.integers(0, 3), parts=st.integers(1, 9), width=st.integers(1, 3))
+def test_extract_ranges_are_disjoint_and_complete(rows, nulls, parts, width):
+    """The database is one that only this process sees; keys repeat, are text, dates, composite and sparse."""
+    table = SourceTable(schema="main", name="t", keys=("s", "n", "d")[:width], columns="s STRING, n BIGINT, d DATE")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t (s VARCHAR, n BIGINT, d DATE)")
+    for row in [*rows, *[(None, 1, None)] * nulls]:
+        db.execute("INSERT INTO t VALUES (?, ?, ?)", row)
+    starts = db.execute(boundary_query(table, table.keys, parts)).fetchall()
+    assert len(starts) <= max(0, parts - 1)
+    counts = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in range_predicates(table.keys, starts)]
+    assert sum(counts) == len(rows) + nulls and counts[-1] == nulls
+    most = max(Counter(r[:width] for r in rows).values(), default=0)
+    assert all(c <= len(rows) / parts + 1 + most for c in counts[:-1])
+
+
+def test_parts_of_a_skewed_key_have_equal_sizes():
+    table = SourceTable(schema="main", name="t", keys=("s", "n"), columns="s STRING, n BIGINT")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t AS SELECT CASE WHEN i % 3 > 0 THEN 'hot' ELSE 'k' || i % 7 END s, i * i * i n FROM range(9000) r(i)")
+    starts = db.execute(boundary_query(table, table.keys, 16)).fetchall()
+    counts = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in range_predicates(table.keys, starts)]
+    assert len(counts) == 17 and counts[-1] == 0 and max(counts) <= min(counts[:-1]) + 1
+
+
+def test_ranges_in_the_database_are_the_ranges_in_spark(spark):
+    """The conditions are plain SQL: Spark reads the same parts."""
+    spark.range(500).selectExpr("concat('k', id % 9) s", "id n").createOrReplaceTempView("ranges_here")
+    parts = range_predicates(["s", "n"], [("k1", 400), ("k5", 3), ("k5", 3), ("k8", 499)])
+    found = [spark.sql(f"SELECT * FROM ranges_here WHERE {p}").count() for p in parts]
+    assert len(found) == 5 and sum(found) == 500 and found[-1] == 0
+
+
 def test_landing_round_trip_with_files_that_differ(spark, tmp_path, frame):
     table = source("Currency")
     path = write_landing(frame([("EUR", "Euro")], "CurrencyCode string, Name string"), str(tmp_path), table)
@@ -54,6 +105,16 @@ def test_every_table_is_loaded_and_registered(spark, house):
         assert spark.table(f"house_gold.{name}").count() == house.gold(name).notes()["rows"] > 0
 
 
+def test_the_load_notes_what_each_check_found(spark, house):
+    report = {(r.table_name, r.check_name): r for r in house.check_report().collect()}
+    assert set(report) == {(t.full_name, c) for t in SOURCES.values() for c in t.checks}
+    for name, spec in SOURCES.items():
+        if spec.checks:
+            of = [r for (t, _), r in report.items() if t == name]
+            assert {r.accepted for r in of} == {house.silver(spec).read().count()}
+            assert all(r.checked == r.accepted + r.quarantined and r.failed <= r.quarantined for r in of)
+
+
 def test_table_ddl_declares_required_columns_and_defaults(spark, house):
     header = source("SalesOrderHeader")
     text = table_ddl(header.struct, header.defaults)

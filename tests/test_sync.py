@@ -7,7 +7,17 @@ from pyspark.sql.types import StructType
 
 from granary.operators import identity
 from granary.operators.identity import assign_identity
-from granary.operators.sync import align_columns, duplicate_keys, sync_counts, to_sink
+from granary.operators.sync import (
+    CHANGE,
+    align_columns,
+    apply_feed,
+    change_feed,
+    duplicate_keys,
+    key_changes,
+    row_digests,
+    sync_counts,
+    to_sink,
+)
 from granary.sources import files
 from granary.sources.tables import RuleViolation, TableNotFound, VersionedTable, create_layers
 
@@ -193,3 +203,52 @@ def test_scratch_of_a_load_is_removed(spark):
         path = kept.inputFiles()[0].rsplit("/", 1)[0]
         assert files.exists(spark, path)
     assert not files.exists(spark, path)
+
+
+CELLS = st.lists(st.tuples(st.integers(0, 5) | st.none(), st.sampled_from(["a", "b"]) | st.none(), st.integers(0, 1) | st.none()),
+                 max_size=9, unique_by=lambda r: r[:2])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=CELLS, new=CELLS, null_safe=st.booleans())
+def test_a_feed_applied_to_the_old_version_gives_the_new_one(spark, frame, rows, old, new, null_safe):
+    ddl = "k int, s string, v int"
+    before, after = frame(old, ddl), frame(new, ddl)
+    feed = change_feed(after, before, ["k", "s"], null_safe)
+    assert rows(apply_feed(before, feed, ["k", "s"])) == rows(after)
+    known = {r[:2]: r for r in old if null_safe or None not in r[:2]}
+    kinds = sorted(r[CHANGE] for r in feed.collect())
+    there = [r[:2] in known for r in new]
+    changed = [r for r, t in zip(new, there) if t and known[r[:2]] != r]
+    gone = len(old) - sum(there)
+    assert kinds == ["changed"] * len(changed) + ["deleted"] * gone + ["inserted"] * (len(new) - sum(there))
+
+
+def test_digests_tell_nulls_from_values(frame):
+    one, two = frame([(1, None, 2)], "k int, a int, b int"), frame([(1, 2, None)], "k int, a int, b int")
+    assert [r[CHANGE] for r in change_feed(one, two, ["k"]).collect()] == ["changed"]
+
+
+def test_kept_digests_serve_the_feed_and_go_with_their_version(spark, tmp_path, frame, rows):
+    table = VersionedTable(spark, f"{tmp_path}/t", retain=2)
+    with pytest.raises(TableNotFound):
+        table.feed(["k"])
+    table.publish(frame([(1, "a"), (2, "b"), (None, "n")], "k int, v string"))
+    assert rows(table.feed(["k"])) == [(1, "a", "inserted"), (2, "b", "inserted"), (None, "n", "inserted")]
+    table.publish(frame([(1, "a"), (2, "c"), (None, "n")], "k int, v string"))
+    assert rows(table.feed(["k"])) == [(2, "c", "changed"), (None, "n", "inserted"), (None, None, "deleted")]
+    assert rows(table.feed(["k"], null_safe=True)) == [(2, "c", "changed")]
+    kept = {r[CHANGE]: r.rows for r in table.key_changes(["k"], null_safe=True).groupBy(CHANGE).agg(F.sum("rows").alias("rows")).collect()}
+    assert kept == {"unchanged": 2, "changed": 1}
+    assert sorted(n for n in files.child_names(spark, table.path) if n.startswith("digests")) == ["digests-0-k", "digests-1-k"]
+    table.publish(frame([(3, "d")], "k int, v string"))
+    assert [n for n in files.child_names(spark, table.path) if n.startswith("digests")] == ["digests-1-k"]
+
+
+def test_a_key_that_most_rows_share_is_one_row_of_the_comparison(spark):
+    old = spark.range(400).selectExpr("if(id % 3 = 0, null, 1) k", "id v")
+    new = spark.range(401).selectExpr("if(id % 3 = 0, null, 1) k", "id v")
+    changes = key_changes(row_digests(new, ["k"]), row_digests(old, ["k"]), ["k"])
+    assert sorted((r.k or 0, r[CHANGE], r.rows) for r in changes.collect()) == [
+        (0, "deleted", 134), (0, "inserted", 134), (1, "changed", 267)]
+    assert "partial_bit_xor" in changes._jdf.queryExecution().executedPlan().toString()
