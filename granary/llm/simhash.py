@@ -245,6 +245,23 @@ def near_groups(
     )
 
 
+def nearest_rows(rows: DataFrame, text: str = "text", words: int = WORDS, reach: int = REACH) -> DataFrame:
+    """Pairs ``high, low`` of ``_row`` numbers that the links tie, one at most from each row.
+
+    Of the rows of a fingerprint the first one stands for all; the others are
+    tied to it, and it to the first row of the smallest print linked to its own.
+    """
+    prints = stored(rows.select(ROW, fingerprint(whole_text(text), words).alias(FP)), "fingerprints")
+    classes = stored(prints.groupBy(FP).agg(F.min(ROW).alias("first")), "classes")
+    least = stored(links_of(classes, reach).groupBy("high").agg(F.min("low").alias("low")), "least-links")
+    one = classes.select(F.col(FP).alias("high"), F.col("first").alias("one"))
+    two = classes.select(F.col(FP).alias("low"), F.col("first").alias("two"))
+    tied = least.join(one, "high").join(two, "low")
+    tied = tied.select(F.greatest("one", "two").alias("high"), F.least("one", "two").alias("low"))
+    copies = prints.join(classes, FP).filter(F.col(ROW) != F.col("first"))
+    return tied.unionByName(copies.select(F.col(ROW).alias("high"), F.col("first").alias("low")))
+
+
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The first row of each component, with all its columns."""
     plain, names = plain_names(docs)

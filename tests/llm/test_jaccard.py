@@ -58,6 +58,18 @@ def test_the_stage_drops_copies_of_similarity_four_fifths(llm, docs):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(llm, docs(rows), "").collect()) == [1, 3]
 
 
+def test_the_stage_goes_through_simhash(llm, docs, documents, monkeypatch):
+    import corpus_pipeline
+
+    from granary.llm import simhash
+
+    met, links_of = [], simhash.links_of
+    monkeypatch.setattr(simhash, "links_of", lambda *a: met.append(out := links_of(*a)) or out)
+    rows = near_copies(random.Random(9), 6) + documents[:30]
+    got = sorted((tuple(r) for r in corpus_pipeline.near_dedup(llm, docs(rows), "").collect()), key=str)
+    assert got == first_of_each(rows) and len(met) == 1
+
+
 def test_frequent_shingles_lose_no_pair(docs, monkeypatch):
     monkeypatch.setattr(jaccard, "SAMPLE", 1)
     rnd = random.Random(8)

@@ -83,3 +83,14 @@ def test_odd_rows_and_all_columns(docs, odd_rows):
     assert simhash.near_groups(docs([])).collect() == []
     df = docs([(2, "a b", 1, "x"), (1, "a  b", 2, "y")], "doc_id bigint, text string, _fp int, root string")
     assert [tuple(r) for r in simhash.drop_near_copies(df).collect()] == [(1, "a  b", 2, "y")]
+
+
+def test_each_row_meets_one_linked_row(docs, documents):
+    rows = [(i, t) for i, (_, t) in enumerate(documents + documents[:20])]
+    rows += [(1000 + i, f"{t} one more word") for i, (_, t) in enumerate(documents[:50])]
+    prints = {i: plain_fingerprint(t) for i, t in rows}
+    near = {i: {j for j in prints if j != i and (prints[i] ^ prints[j]).bit_count() <= 4} for i in prints}
+    got = [tuple(r) for r in simhash.nearest_rows(docs(rows, "_row bigint, text string")).collect()]
+    assert len(got) == len(set(got)) < len(rows)
+    assert all(high > low and low in near[high] for high, low in got)
+    assert {i for pair in got for i in pair} == {i for i in near if near[i]}
