@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from granary.llm import jaccard
 
 
@@ -58,6 +60,33 @@ def test_the_stage_drops_copies_of_similarity_four_fifths(llm, docs):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(llm, docs(rows), "").collect()) == [1, 3]
 
 
+def test_long_parity_never_exceeds_the_difference():
+    rnd, close = random.Random(4), 0
+    for n in (1, 20, 63, 64, 150, 3000):
+        for share in (0.02, 0.1, 0.3, 1):
+            own = [rnd.getrandbits(64) for _ in range(n)]
+            other = [x for x in own if rnd.random() > share] + [rnd.getrandbits(64) for _ in range(int(n * share))]
+            one, two = (np.unique(np.array(x, dtype=np.uint64)) for x in (own, other))
+            differ = len(np.setxor1d(one, two))
+            found = jaccard.least_different(jaccard.long_parity(one), jaccard.long_parity(two))
+            assert found <= differ
+            close += 2 * found > differ
+    assert close > 12
+
+
+def test_few_pairs_of_a_group_are_fetched(docs, monkeypatch):
+    """Of texts around one base, most are not similar to each other, and parity bits tell."""
+    rnd, met, whole_sets = random.Random(6), [], jaccard.whole_sets
+    monkeypatch.setattr(jaccard, "whole_sets", lambda rows, pairs: met.append(pairs.count()) or whole_sets(rows, pairs))
+    base, rows = [f"w{k}" for k in range(150)], []
+    for i in range(80):
+        at = set(rnd.sample(range(150), rnd.randint(1, 9)))
+        rows.append((i, " ".join(f"x{rnd.randint(0, 10**6)}" if k in at else w for k, w in enumerate(base))))
+    got = sorted((tuple(r) for r in jaccard.drop_near_copies(docs(rows)).collect()), key=str)
+    assert got == first_of_each(rows) and 10 < len(got) < 70
+    assert sum(met) < 80 * 79 // 2 // 4
+
+
 def test_the_stage_goes_through_simhash(llm, docs, documents, monkeypatch):
     import corpus_pipeline
 
