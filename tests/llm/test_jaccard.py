@@ -106,3 +106,44 @@ def test_frequent_shingles_lose_no_pair(docs, monkeypatch):
     rows = [(i, f"{t} {common}") for i, t in near_copies(rnd, 12)]
     got = sorted((tuple(r) for r in jaccard.drop_near_copies(docs(rows)).collect()), key=str)
     assert got == first_of_each(rows)
+
+
+def around(rnd, base, n_texts, most):
+    """Copies of ``base`` with up to ``most`` words exchanged."""
+    rows = []
+    for i in range(n_texts):
+        at = set(rnd.sample(range(len(base)), rnd.randint(0, most)))
+        rows.append((i, " ".join(f"x{rnd.randint(0, 10**6)}" if k in at else w for k, w in enumerate(base))))
+    return rows
+
+
+def test_a_large_group_makes_few_pairs(docs, monkeypatch):
+    rnd, met, verified = random.Random(11), [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *a: met.append(pairs.count()) or verified(pairs, *a))
+    rows = around(rnd, [f"w{k}" for k in range(150)], 1000, 6)
+    got = sorted((tuple(r) for r in jaccard.drop_near_copies(docs(rows)).collect()), key=str)
+    assert got == first_of_each(rows) and 100 < len(got) < 900
+    assert sum(met) < 4 * len(rows)
+
+
+def test_crowds_lose_no_pair(docs, documents, monkeypatch):
+    """Crowds of near copies, of copies of copies, and of texts that share a passage only."""
+    for name, value in (("CROWD", 4), ("SAMPLE", 1), ("PICKED", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    met, crowd_links = [], jaccard.crowd_links
+
+    def counted(apart):
+        links, pairs = crowd_links(apart)
+        met.extend((links.count(), pairs.count()))
+        return links, pairs
+
+    monkeypatch.setattr(jaccard, "crowd_links", counted)
+    rnd, common = random.Random(12), " ".join(f"c{k}" for k in range(40))
+    rows = around(rnd, [f"w{k}" for k in range(120)], 60, 6)
+    copies = around(rnd, rows[7][1].split(), 20, 3) + around(rnd, rows[9][1].split()[:100], 20, 4)
+    rows += [(100 + i, t) for i, (_, t) in enumerate(copies)]
+    rows += [(2000 + i, f"{t} {common}") for i, t in near_copies(rnd, 8)]
+    rows += [(4000 + i, f"{common} " + " ".join(f"y{rnd.randint(0, 10**6)}" for _ in range(i))) for i in range(30)]
+    rows += [(5000 + i, t) for i, t in documents[:60]]
+    got = sorted((tuple(r) for r in jaccard.drop_near_copies(docs(rows)).collect()), key=str)
+    assert got == first_of_each(rows) and len(met) == 2 and min(met) > 10
