@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import forget_half, whole_text
+from granary.llm.common import forget_half, keep_only, whole_text
 
 MEAN_CHUNK, LEAST_CHUNK, MOST_CHUNK = 1024, 256, 8192  # bytes
 KNOWN_CHUNK_BYTES = 32 << 20  # of chunks that a worker remembers, and as much for their tokens
@@ -205,6 +205,7 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     """``doc_id, ids, decoded``: the token ids of each text, and the text they decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("bpe", encoder.cache_clear)
         own = encoder(path)
         for batch in batches:
             encoded = own.encode_batch(batch.column("text").to_pylist())

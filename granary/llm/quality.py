@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import plain_names, whole_text, with_names
+from granary.llm.common import keep_only, plain_names, whole_text, with_names
 from granary.llm.labelled import fit_logistic, logistic
 
 PER_CLASS = 2000
@@ -262,6 +262,7 @@ def score(spark: SparkSession, model: NaiveBayesSvm, text: Column) -> Column:
     shipped = spark.sparkContext.broadcast(model)
 
     def of_batch(texts: pd.Series) -> pd.Series:
+        keep_only("quality")
         return pd.Series(shipped.value.scores(texts.tolist()))
 
     return F.pandas_udf(of_batch, "double")(text)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from granary.llm import bpe, token_counts
+from granary.llm import bpe, common, token_counts
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 BITS = ["'re", "'r", "'s", " ", "  ", "\n", "\t", "a", "the", " world", "1", "23", "é", "漢", "!", "<|endoftext|>", "<|",
@@ -95,3 +95,12 @@ def test_round_trip_query(docs, documents, odd_rows, library):
 def test_empty_tables(docs):
     assert bpe.encode_decode(docs([]), WORDS).collect() == []
     assert token_counts.token_counts(docs([]), BYTES, 512).collect() == []
+
+
+def test_the_next_operator_drops_the_encoder():
+    common.keep_only("bpe", bpe.encoder.cache_clear)
+    own = bpe.encoder(WORDS)
+    common.keep_only("bpe", bpe.encoder.cache_clear)
+    assert bpe.encoder(WORDS) is own
+    common.keep_only("quality")
+    assert bpe.encoder.cache_info().currsize == 0 and not common.KEPT
