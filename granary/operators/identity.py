@@ -57,8 +57,9 @@ def assign_identity(
     """Give each source row the key its match in ``target`` has, or a new one.
 
     Only the key columns of new rows are placed and numbered; all rows then
-    take their number from the small table of keys in one join. Without new
-    keys nothing is placed. Equal keys get one number, which the audit of the
+    take their number from the narrow table of keys in one join. It has a row
+    for each of theirs, so it is sort-merged, whatever its files' size. Without
+    new keys nothing is placed. Equal keys get one number, which the audit of the
     load refuses; a key that an older target repeats counts once.
 
     A key with a NULL part matches nothing unless ``null_safe``: each such row
@@ -78,11 +79,11 @@ def assign_identity(
     if target is not None:
         numbers = target.groupBy(*keys).agg(F.min(F.col(identity).cast("bigint")).alias(identity))
         same = same_key("s", "t", keys, null_safe)
-        found = found.alias("s").join(numbers.alias("t"), same, "left_anti").select("s.*")
+        found = found.alias("s").join(numbers.hint("merge").alias("t"), same, "left_anti").select("s.*")
     if numbers is None or not found.isEmpty():
         fresh, highest = number_keys(found, keys, identity, highest)
         numbers = fresh if numbers is None else numbers.select(identity, *keys).unionByName(fresh)
-    keyed = whole.alias("s").join(numbers.alias("t"), same_key("s", "t", keys, null_safe)).select(
+    keyed = whole.alias("s").join(numbers.hint("merge").alias("t"), same_key("s", "t", keys, null_safe)).select(
         f"t.{identity}", "s.*"
     )
     return (keyed if alone is None else keyed.unionByName(alone)), highest

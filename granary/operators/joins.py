@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def left_join_many(left: DataFrame, many: DataFrame, key: str) -> DataFrame:
@@ -12,7 +14,28 @@ def left_join_many(left: DataFrame, many: DataFrame, key: str) -> DataFrame:
     many rows of a hot key are on the right, so matches come from an inner
     join, which splits on either side, and rows without a match from an anti
     join with the distinct keys. The key column appears once.
+
+    Both sides grow with the source, so neither is broadcast for its files'
+    size; see :func:`by_measure`.
     """
-    matched = left.join(many, key, "inner")
-    alone = left.join(many.select(key).distinct(), key, "left_anti")
+    matched = left.join(many.hint("merge"), key, "inner")
+    alone = left.join(many.select(key).distinct().hint("merge"), key, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def bytes_in_memory(stored: DataFrame) -> int:
+    """What the rows of a stored frame take at least, once the driver or an executor has them in memory."""
+    long = [f.name for f in stored.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    sums = [F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c in long]
+    n, *lengths = stored.agg(F.count(F.lit(1)), *sums).first()
+    return n * 8 * (1 + len(stored.columns)) + sum(lengths)
+
+
+def by_measure(stored: DataFrame) -> DataFrame:
+    """A stored frame that is sort-merged where its rows in memory pass the session's broadcast limit.
+
+    The planner goes by the size of files, and files of numbers and repeated
+    values take a small part of what their rows take in memory.
+    """
+    limit = stored.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return stored.hint("merge") if bytes_in_memory(stored) > limit else stored

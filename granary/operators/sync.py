@@ -28,6 +28,12 @@ def to_sink(source: DataFrame, sink: StructType, generated: Sequence[str] = ())
     return cast_to(source, wanted)
 
 
+def to_sink_in_part(source: DataFrame, sink: StructType) -> DataFrame:
+    """All columns of a source that lacks some of the sink's; those of the sink are cast to its types."""
+    types = {f.name: f.dataType for f in sink}
+    return source.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else f"`{c}`" for c in source.columns])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Keys that occur more than once.
 

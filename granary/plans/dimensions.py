@@ -11,9 +11,10 @@ from granary.functions.calendar import calendar_columns
 from granary.operators.conform import typed_null
 from granary.operators.dedup import one_per_key
 from granary.operators.history import match_open_ranges
-from granary.operators.joins import left_join_many
+from granary.operators.joins import by_measure, left_join_many
 from granary.operators.shaping import pivot_first, project
 from granary.registry import WAREHOUSE
+from granary.session import stored
 
 Frames = Mapping[str, DataFrame]
 
@@ -220,32 +221,26 @@ def product_history(silver: Frames) -> DataFrame:
         & (F.col("c.StartDate") == F.col("l.StartDate"))
         & match_open_ranges(F.col("c.EndDate"), F.col("l.EndDate"))
     )
-    return cost.join(price, same_period, "left").select(
+    return cost.join(price.hint("merge"), same_period, "left").select(
         "c.ProductID", "c.StartDate", "c.EndDate", "c.StandardCost", "l.ListPrice"
     )
 
 
 def dim_product(silver: Frames) -> DataFrame:
     """One row per product version, or one undated row for a product without history."""
-    model, text = silver["ProductModel"].alias("m"), product_descriptions(silver).alias("t")
+    return _ordered(describe_products(product_rows(silver), silver), "DimProduct")
+
+
+def product_rows(silver: Frames) -> DataFrame:
+    """The rows of :func:`dim_product` without what :func:`describe_products` adds, and their model as ``_model``."""
     history = product_history(silver).withColumnsRenamed(
         {"StandardCost": "VersionCost", "ListPrice": "VersionPrice"}
     )
     versions = left_join_many(silver["Product"], history, "ProductID").alias("p")
-    # Model and text meet first, so that the products join them once.
-    described = model.join(
-        text, F.col("m.ProductModelID") == F.col("t.ProductModelID"), "full"
-    ).select(
-        F.coalesce("m.ProductModelID", "t.ProductModelID").alias("ProductModelID"),
-        F.col("m.Name").alias("ModelName"),
-        *[f"t.{language}Description" for language in CULTURES.values()],
-    ).alias("m")
-    joined = versions.join(
-        described, F.col("p.ProductModelID") == F.col("m.ProductModelID"), "left"
-    )
-    named = project(
-        joined,
+    return project(
+        versions,
         {
+            "_model": "p.ProductModelID",
             "ProductAlternateKey": "p.ProductNumber",
             "ProductSubcategoryKey": "p.ProductSubcategoryID",
             "WeightUnitMeasureCode": "p.WeightUnitMeasureCode",
@@ -263,13 +258,29 @@ def dim_product(silver: Frames) -> DataFrame:
             "ProductLine": "p.ProductLine",
             "Class": "p.Class",
             "Style": "p.Style",
-            "ModelName": "m.ModelName",
-            **{f"{language}Description": f"m.{language}Description" for language in CULTURES.values()},
             "StartDate": "p.StartDate",
             "EndDate": "p.EndDate",
             "Status": F.when(F.col("p.EndDate").isNull(), "Current"),
         },
     )
+
+
+def describe_products(rows: DataFrame, silver: Frames) -> DataFrame:
+    """Adds model names and descriptions to :func:`product_rows`, keyed or not, and the columns nothing is known of.
+
+    Model and text meet first and are stored, so that the products join them
+    once, and by their size.
+    """
+    model, text = silver["ProductModel"].alias("m"), product_descriptions(silver).alias("t")
+    described = model.join(
+        text, F.col("m.ProductModelID") == F.col("t.ProductModelID"), "full"
+    ).select(
+        F.coalesce("m.ProductModelID", "t.ProductModelID").alias("_described"),
+        F.col("m.Name").alias("ModelName"),
+        *[f"t.{language}Description" for language in CULTURES.values()],
+    )
+    described = by_measure(stored(described, "described"))
+    joined = rows.join(described, F.col("_model") == F.col("_described"), "left").drop("_model", "_described")
     unknown = (
         "SpanishProductName",
         "FrenchProductName",
@@ -280,8 +291,11 @@ def dim_product(silver: Frames) -> DataFrame:
         "JapaneseDescription",
         "TurkishDescription",
     )
-    return _ordered(named.withColumns(_placeholders("DimProduct", *unknown)), "DimProduct")
+    return joined.withColumns(_placeholders("DimProduct", *unknown))
+
 
+# Dimensions whose long texts are added when their rows have surrogate keys.
+FINISHED = {"DimProduct": (product_rows, describe_products)}
 
 DIMENSIONS = {
     "DimProduct": dim_product,

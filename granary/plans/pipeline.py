@@ -142,7 +142,11 @@ class Warehouse:
         return version
 
     def load_gold(
-        self, name: str, rows: DataFrame, audit: Callable[[DataFrame], DataFrame] | None = None
+        self,
+        name: str,
+        rows: DataFrame,
+        audit: Callable[[DataFrame], DataFrame] | None = None,
+        finish: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         spec = WAREHOUSE[name]
         return self.gold(name).sync(
@@ -154,6 +158,7 @@ class Warehouse:
             required=spec.required,
             keys_unique=spec.unique_by_build,
             audit=audit,
+            finish=finish,
         )
 
     def load_dimension(self, name: str) -> int:
@@ -165,6 +170,9 @@ class Warehouse:
                 self._refuse_contacts(frames)
                 return self.load_gold(name, dimensions.dim_customer(frames, self.one_contact))
             audit = self._overlaps if name == "DimProduct" else None
+            if name in dimensions.FINISHED:
+                build, finish = dimensions.FINISHED[name]
+                return self.load_gold(name, build(frames), audit, partial(finish, silver=frames))
             return self.load_gold(name, dimensions.DIMENSIONS[name](frames), audit)
 
     def _refuse_contacts(self, frames: Mapping[str, DataFrame]) -> None:

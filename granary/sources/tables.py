@@ -30,6 +30,7 @@ from granary.operators.sync import (
     row_digests,
     sync_counts,
     to_sink,
+    to_sink_in_part,
 )
 from granary.sources import files
 
@@ -196,21 +197,25 @@ class VersionedTable:
         defaults: Mapping[str, str] | None = None,
         audit: Callable[[DataFrame], DataFrame] | None = None,
         notes: Mapping[str, Any] | None = None,
+        finish: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """Full-sync merge of ``source`` into the table; see :mod:`granary.operators.sync`.
 
         ``keys_unique`` says that the plan behind ``source`` already yields one
         row per key, which saves the duplicate check. ``notes`` are kept with
-        the version.
+        the version. ``finish`` adds the columns that ``source`` lacks once its
+        rows have their surrogate key, so that long texts stay out of that join.
         """
-        rows = to_sink(source, schema, (identity,) if identity else ())
+        rows = to_sink_in_part(source, schema) if finish else to_sink(source, schema, (identity,) if identity else ())
         notes = dict(notes or {})
         if identity:
             old = self.read() if self.exists() else None
             rows, highest = assign_identity(
                 rows, old, keys, identity, self.highest(identity, old), null_safe
             )
-            rows, notes = rows.select(*schema.names), notes | {"highest": highest}
+            rows, notes = rows if finish else rows.select(*schema.names), notes | {"highest": highest}
+        if finish:
+            rows = to_sink(finish(rows), schema)
         unique = () if keys_unique else keys
         return self.publish(rows, required, unique, notes, defaults, schema, null_safe, keys, audit)
 

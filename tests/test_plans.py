@@ -140,3 +140,35 @@ def test_silver_with_rejects_scans_once(spark, small):
     checked = silver.check_rows(storefront.bronze_like(spark, small, table.full_name), table, "2002-01-01")
     plan = plan_of(checked)
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_product_joins_go_by_rows_in_memory(spark, small):
+    """Files far smaller than their rows are no reason to broadcast: products, histories and keys are sort-merged."""
+    from granary.queries import layers
+
+    plan = plan_of(layers.gold_dim_product(spark, small))
+    # The small table of models and descriptions, and one row per partition of the new keys.
+    assert plan.count("BroadcastExchange") == 2 and "_described" in plan
+    assert plan.count("SortMergeJoin") >= 4
+
+
+def test_descriptions_stay_out_of_the_join_for_surrogate_keys(spark, small):
+    from granary.queries import layers
+
+    plan = layers.gold_dim_product(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "_described" in joins[0] and "StartDate" in joins[1]
+
+
+def test_the_planner_is_told_of_rows_that_outgrow_their_files(spark):
+    from granary.operators.joins import by_measure, bytes_in_memory
+    from granary.session import stored
+
+    # 480,000 rows whose files are 10 KB or so, and text that is what it is.
+    repeated = stored(spark.range(480000).selectExpr("1 as k", "2 as v"), "repeated")
+    few = stored(spark.sql("select 1 as k, repeat('x', 1000) as v"), "few")
+    assert bytes_in_memory(repeated) == 480000 * 24 and bytes_in_memory(few) == 1024
+    lines = spark.range(100).selectExpr("id as k")
+    assert "BroadcastHashJoin" in plan_of(lines.join(repeated, "k"))
+    assert "BroadcastHashJoin" not in plan_of(lines.join(by_measure(repeated), "k"))
+    assert "BroadcastHashJoin" in plan_of(lines.join(by_measure(few), "k"))
