@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.operators.joins import by_measure
 from granary.operators.ordered import PARTITION, POSITION, place_in_order
 from granary.session import stored
 
@@ -83,7 +84,7 @@ def join_as_of(
             matches = matches.unionByName(again.select("s.*", "r._row"))
     matches = stored(matches, "version-matches").withColumnRenamed("_at", "_when")
     same_time = [c == F.col(f"{name}.{k}") for c, k in zip([*row_keys, when], [*keys, "_when"])]
-    flat = matches.select(*keys, "_when", "_row.*").alias(name)
+    flat = by_measure(matches.select(*keys, "_when", "_row.*")).alias(name)
     return rows.join(flat, reduce(lambda a, b: a & b, same_time), "left").drop(
         *[F.col(f"{name}.{k}") for k in [*keys, "_when"]]
     )

@@ -23,12 +23,17 @@ def left_join_many(left: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
-def bytes_in_memory(stored: DataFrame) -> int:
-    """What the rows of a stored frame take at least, once the driver or an executor has them in memory."""
+def bytes_in_memory(stored: DataFrame, enough: int | None = None) -> int:
+    """What the rows of a stored frame take at least, once the driver or an executor has them in memory.
+
+    From ``enough`` bytes on, the count of the rows tells, and texts are not read.
+    """
     long = [f.name for f in stored.schema if isinstance(f.dataType, (StringType, BinaryType))]
-    sums = [F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c in long]
-    n, *lengths = stored.agg(F.count(F.lit(1)), *sums).first()
-    return n * 8 * (1 + len(stored.columns)) + sum(lengths)
+    least = stored.count() * 8 * (1 + len(stored.columns))
+    if not long or enough is not None and least > enough:
+        return least
+    lengths = stored.agg(*[F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c in long]).first()
+    return least + sum(lengths)
 
 
 def by_measure(stored: DataFrame) -> DataFrame:
@@ -38,4 +43,4 @@ def by_measure(stored: DataFrame) -> DataFrame:
     values take a small part of what their rows take in memory.
     """
     limit = stored.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return stored.hint("merge") if bytes_in_memory(stored) > limit else stored
+    return stored.hint("merge") if bytes_in_memory(stored, limit) > limit else stored

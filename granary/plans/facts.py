@@ -12,6 +12,7 @@ from granary.functions.sales import discount_amount, order_id, product_cost, sal
 from granary.operators.dedup import one_per_key
 from granary.operators.fills import AsOf
 from granary.operators.history import join_as_of, join_valid_version
+from granary.operators.joins import by_measure
 from granary.operators.ordered import number_in_lanes, split_groups
 from granary.operators.shaping import project
 from granary.registry import WAREHOUSE
@@ -71,7 +72,7 @@ def territory_lookup(silver: Frames, gold: Frames) -> DataFrame:
 
 def product_versions(silver: Frames, gold: Frames) -> DataFrame:
     """Dimension versions by product id, so that the fact joins products once."""
-    product, versions = silver["Product"].alias("p"), gold["DimProduct"].alias("d")
+    product, versions = silver["Product"].alias("p"), gold["DimProduct"].hint("merge").alias("d")
     return product.join(
         versions, F.col("p.ProductNumber") == F.col("d.ProductAlternateKey"), "inner"
     ).select("p.ProductID", "d.ProductKey", "d.StandardCost", "d.StartDate", "d.EndDate")
@@ -87,27 +88,34 @@ def orders_in_lanes(silver: Frames) -> DataFrame:
     detail, header = silver["SalesOrderDetail"], silver["SalesOrderHeader"]
     long = split_groups(detail, "SalesOrderID", line_lane("SalesOrderDetailID"))
     shared = split_groups(header, "SalesOrderNumber", F.col("SalesOrderID"))
-    doubled = header.join(stored(shared, "shared-numbers"), "SalesOrderNumber", "left_semi").select("SalesOrderID")
-    return stored(long.unionByName(doubled).distinct(), "orders-in-lanes")
+    shared = stored(shared, "shared-numbers")
+    if not shared.isEmpty():
+        doubled = header.join(by_measure(shared), "SalesOrderNumber", "left_semi").select("SalesOrderID")
+        long = long.unionByName(doubled).distinct()
+    return stored(long, "orders-in-lanes")
 
 
 def fact_internet_sales(silver: Frames, gold: Frames, as_of: AsOf = None) -> DataFrame:
     """Lines of online orders with their surrogate keys, line numbers and amounts.
 
-    The two folded lookups are stored first, so that the size of their files
-    decides: small ones are broadcast, large ones sort-merged, without a hint.
+    The two folded lookups are stored first, so that their size decides: small
+    ones are broadcast, and those whose rows pass the broadcast limit in memory
+    are sort-merged, whatever their files' size; so are headers that the caller
+    has measured.
     Adaptive execution splits hot products, orders and territories. Lines are
     numbered in the partitioning by order that their join with the header
     leaves, so the joined rows are neither shuffled nor sorted as a whole.
     """
-    versions = stored(product_versions(silver, gold), "product-versions")
-    territories = stored(territory_lookup(silver, gold), "territories")
+    versions = by_measure(stored(product_versions(silver, gold), "product-versions"))
+    territories = by_measure(stored(territory_lookup(silver, gold), "territories"))
+    gold = {**gold, "DimPromotion": by_measure(gold["DimPromotion"])}
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     in_lanes = orders_in_lanes(silver)
     detail = silver["SalesOrderDetail"]
     split = None
     if not in_lanes.isEmpty():
-        split = sales_lines(detail.join(in_lanes, "SalesOrderID", "left_semi"), silver, versions, territories, gold, today)
+        few = detail.join(by_measure(in_lanes), "SalesOrderID", "left_semi")
+        split = sales_lines(few, silver, versions, territories, gold, today)
     named = sales_lines(detail, silver, versions, territories, gold, today)
     numbered = number_in_lanes(
         named,
@@ -196,6 +204,6 @@ def fact_internet_sales_reason(fact: DataFrame, silver: Frames) -> DataFrame:
         F.col("SalesOrderID").cast("bigint").alias("SalesOrderID"),
         F.col("SalesReasonID").alias("SalesReasonKey"),
     )
-    return lines.join(bridge.filter(F.col("SalesReasonKey").isNotNull()), "SalesOrderID").select(
+    return lines.join(bridge.filter(F.col("SalesReasonKey").isNotNull()).hint("merge"), "SalesOrderID").select(
         "SalesOrderNumber", "SalesOrderLineNumber", "SalesReasonKey"
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from granary.operators.checks import declare_checks, observed_checks, read_checks
 from granary.operators.fills import AsOf
 from granary.operators.history import overlapping_versions
+from granary.operators.joins import by_measure
 from granary.plans import dimensions, facts, silver
 from granary.registry import WAREHOUSE, SourceTable, active_sources, source
 from granary.session import scratch_scope, stored
@@ -192,6 +193,7 @@ class Warehouse:
         with scratch_scope(self.spark):
             gold = {n: self.gold(n).read() for n in facts.LOOKUPS}
             frames = self.silver_frames(WAREHOUSE[name].sources)
+            frames["SalesOrderHeader"] = by_measure(frames["SalesOrderHeader"])
             return self.load_gold(name, facts.fact_internet_sales(frames, gold, self.as_of))
 
     def load_sales_reasons(self) -> int:

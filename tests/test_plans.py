@@ -172,3 +172,24 @@ def test_the_planner_is_told_of_rows_that_outgrow_their_files(spark):
     assert "BroadcastHashJoin" in plan_of(lines.join(repeated, "k"))
     assert "BroadcastHashJoin" not in plan_of(lines.join(by_measure(repeated), "k"))
     assert "BroadcastHashJoin" in plan_of(lines.join(by_measure(few), "k"))
+
+
+def test_lookups_of_the_lines_go_by_rows_in_memory(spark, small):
+    """Product versions and headers whose files are below the threshold, and whose rows are not, are sort-merged."""
+    from granary.operators.joins import by_measure
+    from granary.plans import facts
+    from granary.queries import layers
+    from granary.session import stored
+
+    gold = {n: layers.stored_lookup(n, spark, small) for n in facts.LOOKUPS}
+    frames = layers.silver_frames(spark, small, facts.WAREHOUSE["FactInternetSales"].sources)
+    frames |= {n: stored(frames[n], n) for n in ("SalesOrderHeader", "SalesOrderDetail")}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        frames["SalesOrderHeader"] = by_measure(frames["SalesOrderHeader"])
+        plan = plan_of(facts.fact_internet_sales(frames, gold, layers.AS_OF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(ProductID" in plan and "hashpartitioning(SalesOrderID" in plan
+    assert plan.count("BroadcastExchange") == 2  # promotions and territories
