@@ -252,3 +252,40 @@ def test_a_key_that_most_rows_share_is_one_row_of_the_comparison(spark):
     assert sorted((r.k or 0, r[CHANGE], r.rows) for r in changes.collect()) == [
         (0, "deleted", 134), (0, "inserted", 134), (1, "changed", 267)]
     assert "partial_bit_xor" in changes._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+
+def test_a_load_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    import time
+
+    from granary.plans.pipeline import Warehouse
+
+    house = Warehouse(spark, f"{tmp_path}/house", f"{tmp_path}/landing", prefix="shuffled_")
+    rows = spark.range(1000).selectExpr("id % 7 as k").repartition(5).groupBy("k").count()
+    monkeypatch.setattr(house, "_run", lambda: VersionedTable(spark, f"{tmp_path}/t").publish(rows))
+    before, key = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key, None)
+    house.run()
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and spark.conf.get(key, None) == setting
+    house._run()
+    assert shuffle_files(spark) - before
+
+
+def test_versions_are_kept_by_layer(spark, tmp_path):
+    from granary.plans.pipeline import Warehouse
+    from granary.queries import layers
+    from granary.registry import source
+
+    house = Warehouse(spark, f"{tmp_path}/house", f"{tmp_path}/landing", prefix="kept_", retain=3, retain_in={"silver": 1})
+    table = source("Currency")
+    assert [house.bronze(table).retain, house.silver(table).retain, house.gold("DimCurrency").retain] == [3, 1, 3]
+    own = layers._house(spark, "kept")
+    assert [own.bronze(table).retain, own.quarantine(table).retain, own.gold("DimCurrency").retain] == [1, 1, None]
